@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is batch-only -- no stream abstraction, watermark, session window
+or stateful operator appears in it (SURVEY §2.13) -- so nothing is built here.
+Every operator in :mod:`eventlink.operators` is a plain DataFrame transform and
+therefore also composes inside ``foreachBatch`` if a caller streams its inputs.
+"""
