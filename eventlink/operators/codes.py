@@ -124,28 +124,52 @@ def map_range(facts: DataFrame, ranges: DataFrame, code: str, lb: str = "lb", ub
     return f.join(m, code)
 
 
+def map_keyed(facts: DataFrame, arms: Sequence[tuple[str, Column, DataFrame]], type_col: str,
+              out: str = "grp", dict_key: str = "code", grp: str = "grp") -> DataFrame:
+    """Several exact mappings, one per code type, in a single join.
+
+    ``arms`` = [(type value, key expression on the facts, dictionary)].  The
+    key is one ``CASE`` on the type and the dictionaries are unioned with their
+    type as a second join key, so the facts are read once and meet one
+    equi-join whatever the number of arms (instead of one scan per UNION arm).
+    """
+    key = None
+    dicts = []
+    for tv, expr, d in arms:
+        cond = F.col(type_col) == F.lit(tv)
+        key = F.when(cond, expr) if key is None else key.when(cond, expr)
+        dicts.append(d.select(F.lit(tv).alias(type_col), F.col(dict_key).alias("_k"), F.col(grp).alias(out)))
+    dict_all = union_all(dicts).distinct()
+    return facts.withColumn("_k", key).join(dict_all, [type_col, "_k"]).drop("_k")
+
+
 def group_dx(dx: DataFrame, dict10: DataFrame, dict9: DataFrame, code: str = "dx", type_col: str = "dx_type",
              out: str = "grp") -> DataFrame:
     """Diagnosis codes -> groups (C5): ICD-10 by dot-stripped code, ICD-9 by
-    dot-stripped code right-padded to 5; union of the two arms."""
-    a10 = map_exact(dx, dict10, strip_dots(code), out=out, fact_filter=F.col(type_col) == "10")
-    a9 = map_exact(dx, dict9, pad_right(strip_dots(code), 5), out=out, fact_filter=F.col(type_col) == "09")
-    return a10.unionByName(a9)
+    dot-stripped code right-padded to 5; one keyed join for both arms."""
+    return map_keyed(dx, [("10", strip_dots(code), dict10), ("09", pad_right(strip_dots(code), 5), dict9)],
+                     type_col, out)
+
+
+def px_mapping(codes: DataFrame, ranges: DataFrame, dict9: DataFrame, dict10: DataFrame, code: str = "px",
+               type_col: str = "px_type", out: str = "grp", bucket_width: int = 1000) -> DataFrame:
+    """Distinct ``(type, code)`` -> group through the four alternative
+    procedure mappings (C6, U2): numeric CPT range, single alphanumeric CPT
+    code, ICD-9 (dots stripped), ICD-10 (exact)."""
+    singles = ranges.filter(~is_digits("lb")).select(F.col("lb").alias("code"), "grp")
+    exact = map_keyed(codes, [("CH", F.col(code), singles), ("09", strip_dots(code), dict9),
+                              ("10", F.col(code), dict10)], type_col, out)
+    rng = map_range(codes, ranges.withColumnRenamed("grp", out), code, carry=[out],
+                    fact_filter=F.col(type_col) == "CH", bucket_width=bucket_width)
+    return exact.select(type_col, code, out).unionByName(rng.select(type_col, code, out)).distinct()
 
 
 def group_px(px: DataFrame, ranges: DataFrame, dict9: DataFrame, dict10: DataFrame, code: str = "px",
              type_col: str = "px_type", out: str = "grp", bucket_width: int = 1000) -> DataFrame:
-    """Procedure codes -> groups through four alternative mappings (C6, U2):
-    numeric CPT range, single alphanumeric CPT code, ICD-9 (dots stripped),
-    ICD-10 (exact).  Arms are unioned by name; callers de-duplicate once."""
-    ch = F.col(type_col) == "CH"
-    arm_range = map_range(px, ranges.withColumnRenamed("grp", out), code, carry=[out], fact_filter=ch,
-                          bucket_width=bucket_width)
-    arm_single = map_exact(px, ranges, F.col(code), dict_key="lb", out=out, fact_filter=ch,
-                           dict_filter=~is_digits("lb"))
-    arm9 = map_exact(px, dict9, strip_dots(code), out=out, fact_filter=F.col(type_col) == "09")
-    arm10 = map_exact(px, dict10, F.col(code), out=out, fact_filter=F.col(type_col) == "10")
-    return union_all([arm_range, arm_single, arm9, arm10])
+    """Procedure facts -> groups: map the distinct codes (§4.3), join back once."""
+    codes = px.select(type_col, code).filter(F.col(code).isNotNull()).distinct()
+    m = px_mapping(codes, ranges, dict9, dict10, code, type_col, out, bucket_width)
+    return px.join(m, [type_col, code])
 
 
 def exclude_by_group(events: DataFrame, mapped: DataFrame, exclusions: DataFrame, id: str = "patid",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import group_code, not_sentinel
 from ..operators import codes, events
+from ..session import materialize
 from ..sources.tables import Fixtures
 
 # Administrative censoring window of the fixture data.
@@ -23,8 +24,15 @@ HORIZON_DAYS = 30
 
 
 class Pipeline:
-    def __init__(self, fx: Fixtures):
+    def __init__(self, fx: Fixtures, materialize_stages: bool = True):
         self.fx = fx
+        self.materialize_stages = materialize_stages
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        # Linked events feed five downstream branches (exclusions, planned keys,
+        # persons, labels); writing them once keeps each branch from re-running
+        # the scan -> join -> window plan.
+        return materialize(df, name) if self.materialize_stages else df
 
     # -- C1 / admissions ------------------------------------------------------
     @cached_property
@@ -56,7 +64,7 @@ class Pipeline:
     @cached_property
     def linked(self) -> DataFrame:
         l = events.link_next_event(self.admit, carry=["enc_type", "drg", "provider_id"])
-        return events.lookback_count(l, history=self.admit)
+        return self._stage(events.lookback_count(l, history=self.admit), "linked")
 
     # -- C5 / C6 / C7 ---------------------------------------------------------
     @cached_property

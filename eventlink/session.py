@@ -9,6 +9,7 @@ at a folder we were given.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "event
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("EVENTLINK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -45,6 +47,30 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder: ``spark.checkpoint.dir`` when the cluster
+    names one, else a folder under the (shared) warehouse dir."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d:
+        wh = spark.conf.get("spark.sql.warehouse.dir")
+        d = wh.rstrip("/") + "/_eventlink_checkpoints"
+        ensure_checkpoint_dir(spark, d)
+    return d
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the checkpoint folder and read it back.
+
+    Cuts lineage (an executor loss later re-reads files instead of recomputing
+    the upstream plan), lets a stage reused several times run once, and gives
+    AQE exact sizes for the joins that follow.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint.
 
