@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import group_code, not_sentinel
-from ..operators import codes, events
+from ..operators import attributes, codes, events, features
 from ..session import materialize
 from ..sources.tables import Fixtures
 
@@ -21,6 +21,23 @@ from ..sources.tables import Fixtures
 CENSOR_LO = "1995-01-01"
 CENSOR_HI = "2000-12-31"
 HORIZON_DAYS = 30
+DRG_MIN_SHARE = 0.04
+
+# Variable selections (column -> C categorical / N numeric).
+AREA_SELECTION = {"AREA_CLASS": "C", "AREA_RANK": "N", "AREA_SHARE": "N"}
+PERSON_SELECTION = {"H_SEGMENT": "C", "H_OWN_RENT": "C", "H_FLAG": "C", "H_LENGTH": "N", "H_VALUE": "N",
+                    "H_OWN_PREC": "C"}
+BASE_CATEGORICAL = ["discharge_status", "sex", "race", "hispanic", "cci_class", "drg_regrp"]
+BASE_NUMERIC = ["los", "age_at_enc", "obes", "cci", "ip_cumcnt_12m"]
+BASE_COLUMNS = ["rowid", "patid", "ctx_id", "encounterid", "label", "ip_cumcnt_12m", "los", "discharge_status",
+                "ed_ind", "age_at_enc", "sex", "race", "hispanic", "obes", "cci", "cci_class", "drg_regrp"]
+ROW_COLS = ["rowid", "patid", "encounterid", "label"]
+
+
+def coverage_flags():
+    b = F.col("raw_basis")
+    return {"DUAL_ELIG": b == "DUAL", "LIS_ELIG": b == "LIS",
+            "DUAL_LIS_ELIG": b.like("DUAL%") | b.isin("DUAL", "LIS")}
 
 
 class Pipeline:
@@ -60,6 +77,11 @@ class Pipeline:
                                      "discharge_status", "discharge_disposition", "provider_id")
         return events.admissions(self.span, enc, self.death)
 
+    @cached_property
+    def cohort(self) -> DataFrame:
+        fx = self.fx
+        return events.build_cohort(fx.fx_person, self.span, fx.fx_crosswalk, fx.fx_measure).select(*COHORT_COLUMNS)
+
     # -- C3 / C4 --------------------------------------------------------------
     @cached_property
     def linked(self) -> DataFrame:
@@ -98,6 +120,83 @@ class Pipeline:
         return events.eligible_readmissions(self.linked, self.index_keys, self.planned_keys,
                                             horizon=HORIZON_DAYS, planned=planned)
 
+    @cached_property
+    def eligible(self) -> DataFrame:
+        return self.labelled("downgrade")
+
+    # -- C12 / C13 / C14 ------------------------------------------------------
+    @cached_property
+    def area_long(self) -> DataFrame:
+        return attributes.attach_area(self.fx.fx_person_geo, {"AREA": self.fx.fx_area}, AREA_SELECTION)
+
+    @cached_property
+    def person_long(self) -> DataFrame:
+        return attributes.attach_person(self.fx.fx_crosswalk, {"PERSON": self.fx.fx_person_attr}, PERSON_SELECTION)
+
+    @cached_property
+    def area_num(self) -> DataFrame:
+        return attributes.encode_long(self.area_long, id="ctx_id", keys=["geocode"])
+
+    @cached_property
+    def flags(self) -> DataFrame:
+        return attributes.flag_attributes(self.fx.fx_person, self.fx.fx_coverage, coverage_flags())
+
+    @cached_property
+    def person_num(self) -> DataFrame:
+        return attributes.encode_long(self.person_long, id="patid").unionByName(self.flags)
+
+    # -- C10 / C15 / M12 ------------------------------------------------------
+    @cached_property
+    def history(self) -> DataFrame:
+        return codes.history_score(self.fx.fx_dx, self.fx.fx_prefix_dict, self.eligible)
+
+    @cached_property
+    def drg_groups(self) -> DataFrame:
+        return features.freq_regroup(self.eligible, "drg", min_share=DRG_MIN_SHARE)
+
+    @cached_property
+    def first_measure(self) -> DataFrame:
+        m = self.fx.fx_measure.filter((F.col("measure_type") == "BMI") & F.col("measure_num").between(30, 200))
+        return (events.first_per(m, ["patid"], ["measure_date"], ["measure_num"])
+                .select("patid", F.col("measure_num").alias("first_value"), F.col("measure_date").alias("first_date")))
+
+    @cached_property
+    def obesity(self) -> DataFrame:
+        return features.obesity_onset(self.first_measure, self.fx.fx_dx)
+
+    @cached_property
+    def base(self) -> DataFrame:
+        b = features.analytic_base(self.eligible, self.cohort, self.fx.fx_person_alt, self.history, self.obesity,
+                                   self.drg_groups).select(*BASE_COLUMNS)
+        return self._stage(b, "base")
+
+    @cached_property
+    def base_long(self) -> DataFrame:
+        return features.wide_to_long(self.base, ROW_COLS, BASE_CATEGORICAL, BASE_NUMERIC)
+
+    def attr_orig(self, kind: str) -> DataFrame:
+        """Event rows x attribute rows of the person (S_ORIG / I_ORIG)."""
+        if kind == "area":
+            return (self.base.select(*ROW_COLS, "ctx_id").join(self.area_long.drop("src", "geocode"), "ctx_id")
+                    .select(*ROW_COLS, "var", "val", "type").distinct())
+        return (self.base.select(*ROW_COLS).join(self.person_long.drop("src"), "patid")
+                .select(*ROW_COLS, "var", "val", "type").distinct())
+
+    def profile(self, kind: str) -> DataFrame:
+        return features.variable_profile(self.attr_orig(kind))
+
+    def feature_long(self, kind: str) -> DataFrame:
+        if kind == "area":
+            return features.feature_long(self.base_long, self.area_num, self.base, self.profile("area"),
+                                         F.col("rt") >= 0.5, person_key="ctx_id", attr_person="ctx_id",
+                                         row_cols=ROW_COLS)
+        return features.feature_long(self.base_long, self.person_num, self.base, self.profile("person"),
+                                     (F.col("rt") >= 0.01) | (F.col("type") == "C"), person_key="patid",
+                                     attr_person="patid", row_cols=ROW_COLS)
+
+
+COHORT_COLUMNS = ["patid", "birth_date", "sex", "race", "hispanic", "enr_start", "enr_end", "ctx_id", "first_value",
+                  "first_date", "age_at_enr_start", "enr_dur"]
 
 LABEL_COLUMNS = ["patid", "encounterid", "encounterid_lead", "enc_type", "drg", "admit_date", "discharge_date",
                  "discharge_status", "discharge_disposition", "los", "days_to_next", "days_to_censor",

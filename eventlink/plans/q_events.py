@@ -77,40 +77,21 @@ def coverage_span(spark, sf_dir):
     return _pipe(spark, sf_dir).span
 
 
-_FIRSTM = """
-SELECT patid, first_value, first_date FROM (
-  SELECT patid, measure_num AS first_value, measure_date AS first_date,
-         ROW_NUMBER() OVER (PARTITION BY patid ORDER BY measure_date, measure_num) AS rn
-  FROM fx_measure WHERE measure_type = 'BMI' AND measure_num BETWEEN 30 AND 200) t WHERE rn = 1"""
-
-_COHORT = """
-SELECT patid, birth_date, sex, race, hispanic, enr_start, enr_end, ctx_id, first_value, first_date,
-       age_at_enr_start, enr_dur FROM (
-  SELECT p.patid, p.birth_date, p.sex, p.race, p.hispanic, s.enr_start, s.enr_end, c.ctx_id,
-         f.first_value, f.first_date,
-         CAST(round(date_diff('day', p.birth_date, s.enr_start) / 365.25) AS BIGINT) AS age_at_enr_start,
-         date_diff('day', s.enr_start, s.enr_end) AS enr_dur,
-         ROW_NUMBER() OVER (PARTITION BY p.patid ORDER BY date_diff('day', s.enr_start, s.enr_end), c.ctx_id) AS rn
-  FROM fx_person p JOIN o_span s ON p.patid = s.patid JOIN fx_crosswalk c ON p.patid = c.patid
-  LEFT JOIN o_firstm f ON p.patid = f.patid
-  WHERE round(date_diff('day', p.birth_date, s.enr_start) / 365.25) >= 18) t WHERE rn = 1"""
-
 _COHORT_COLS = ["patid", "birth_date", "sex", "race", "hispanic", "enr_start", "enr_end", "ctx_id", "first_value",
                 "first_date", "age_at_enr_start", "enr_dur"]
 
 
 def cohort(p: Pipeline):
-    fx = p.fx
-    return events.build_cohort(fx.fx_person, p.span, fx.fx_crosswalk, fx.fx_measure).select(*_COHORT_COLS)
+    return p.cohort
 
 
 @register("build_cohort", 2, "C2 W1 W2 J1 J3",
-          compose("SELECT * FROM o_cohort", ("o_firstm", _FIRSTM), ("o_cohort", _COHORT)))
+          compose("SELECT * FROM o_cohort"))
 def build_cohort(spark, sf_dir):
     return cohort(_pipe(spark, sf_dir))
 
 
-@register("first_qualifying", 2, "W1 J3", compose("SELECT * FROM o_firstm", ("o_firstm", _FIRSTM)))
+@register("first_qualifying", 2, "W1 J3", compose("SELECT * FROM o_firstm"))
 def first_qualifying(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     m = fx.fx_measure.filter((F.col("measure_type") == "BMI") & F.col("measure_num").between(30, 200))
@@ -119,8 +100,7 @@ def first_qualifying(spark, sf_dir):
 
 
 @register("semi_eligible", 2, "J4 (cohort persons with an eligible event)",
-          compose("SELECT * FROM o_cohort c WHERE EXISTS (SELECT 1 FROM o_label l WHERE l.patid = c.patid)",
-                  ("o_firstm", _FIRSTM), ("o_cohort", _COHORT)))
+          compose("SELECT * FROM o_cohort c WHERE EXISTS (SELECT 1 FROM o_label l WHERE l.patid = c.patid)"))
 def semi_eligible(spark, sf_dir):
     p = _pipe(spark, sf_dir)
     return cohort(p).join(p.labelled(), "patid", "left_semi")
