@@ -36,7 +36,8 @@ def freq_regroup(df: DataFrame, col: str, min_share: float | None = 0.01, min_co
 
 def analytic_base(labelled: DataFrame, people: DataFrame, alt_people: DataFrame, history: DataFrame | None,
                   obesity: DataFrame | None, drg_groups: DataFrame, id: str = "patid",
-                  event: str = "encounterid", link_key: str = "ctx_id", label: str = "label") -> DataFrame:
+                  event: str = "encounterid", link_key: str = "ctx_id", label: str = "label",
+                  with_id: bool = True) -> DataFrame:
     """One row per eligible event with recoded demographics, clipped counts,
     comorbidity score and class, regrouped DRG and a dense surrogate id (C15:
     W9 A4 A5 P14-P18).  ``people`` (registry) and ``alt_people`` (second
@@ -72,7 +73,7 @@ def analytic_base(labelled: DataFrame, people: DataFrame, alt_people: DataFrame,
         clip_bucket(F.col("_cci"), edges=CCI_CLASSES, default="CCI0").alias("cci_class"),
         F.coalesce("drg_regrp", F.lit("DRG_NI")).alias("drg_regrp"),
     )
-    return surrogate_id(base, [id, event], "rowid")
+    return surrogate_id(base, [id, event], "rowid") if with_id else base
 
 
 def obesity_onset(first_measure: DataFrame, dx: DataFrame, id: str = "patid",

@@ -75,3 +75,38 @@ def global_cumsum(df: DataFrame, order: Sequence[str], values: Sequence[str], de
     out = out.select(*df.columns, "_pos", *[(F.col(f"_loc_{v}") + F.col(f"_bo_{v}")).alias(f"{v}{suffix}")
                                              for v in values])
     return out
+
+
+def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float],
+                    tie: str | None = None) -> DataFrame:
+    """Exact per-group quantiles (linear interpolation, as ``percentile`` /
+    ``quantile_cont``) without holding a group's values in one task.
+
+    Rows are numbered in (groups, value) order by :func:`numbered_keys` (range
+    partitioned, so a group holding a third of all rows spans many tasks); a
+    group's start position and size come from one small aggregate; the two
+    order statistics around each target rank are fetched by equi-join.
+    ``tie`` names a unique row id (added from a hash-free monotonically
+    increasing id when absent) so duplicate values keep their multiplicity.
+    """
+    base = df.select(*groups, F.col(value).cast("double").alias("_v"), *( [tie] if tie else []))
+    base = base.filter(F.col("_v").isNotNull())
+    if tie is None:
+        base = base.withColumn("_tie", F.monotonically_increasing_id())
+        tie = "_tie"
+    pos = numbered_keys(base, [*groups, "_v", tie], "_pos")
+    g = pos.groupBy(*groups).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    looked = pos.select(*groups, "_pos", "_v")
+    out = g
+    for name, p in probs.items():
+        h = (F.col("_n") - 1) * F.lit(float(p))
+        t = g.select(*groups, "_start", "_n", h.alias("_h"),
+                     (F.col("_start") + F.floor(h)).cast("bigint").alias("_lo"),
+                     (F.col("_start") + F.ceil(h)).cast("bigint").alias("_hi"))
+        lo = looked.select(*groups, F.col("_pos").alias("_lo"), F.col("_v").alias("_vlo"))
+        hi = looked.select(*groups, F.col("_pos").alias("_hi"), F.col("_v").alias("_vhi"))
+        q = (t.join(lo, [*groups, "_lo"]).join(hi, [*groups, "_hi"])
+             .select(*groups, (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo")))
+                     .alias(name)))
+        out = out.join(q, list(groups), "left")
+    return out.drop("_start").withColumnRenamed("_n", "n")

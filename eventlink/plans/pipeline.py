@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import group_code, not_sentinel
-from ..operators import attributes, codes, events, features
+from ..operators import attributes, codes, events, features, ranks
 from ..session import materialize
 from ..sources.tables import Fixtures
 
@@ -122,7 +122,8 @@ class Pipeline:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return self.labelled("downgrade")
+        # READMIT_ELIG: read by the history score, the DRG regrouping and the base.
+        return self._stage(self.labelled("downgrade"), "eligible")
 
     # -- C12 / C13 / C14 ------------------------------------------------------
     @cached_property
@@ -167,8 +168,9 @@ class Pipeline:
     @cached_property
     def base(self) -> DataFrame:
         b = features.analytic_base(self.eligible, self.cohort, self.fx.fx_person_alt, self.history, self.obesity,
-                                   self.drg_groups).select(*BASE_COLUMNS)
-        return self._stage(b, "base")
+                                   self.drg_groups, with_id=False)
+        b = self._stage(b, "base")
+        return ranks.surrogate_id(b, ["patid", "encounterid"], "rowid").select(*BASE_COLUMNS)
 
     @cached_property
     def base_long(self) -> DataFrame:

@@ -59,24 +59,30 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._built: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
-
-    def _bind_views(self) -> None:
-        # Views are resolved when spark.sql analyses a text, so re-binding them
-        # per build keeps instances for different directories independent.
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
+
+    def _bind_views(self, sql: str) -> None:
+        # Views are resolved when spark.sql analyses a text, so re-binding the
+        # ones a text reads keeps instances for different directories apart.
+        words = set(re.findall(r"\b\w+\b", sql))
         for t in DRIVER_TABLES:
-            self.table(t).createOrReplaceTempView(t)
+            if t in words:
+                self.table(t).createOrReplaceTempView(t)
         for n, df in self._built.items():
-            df.createOrReplaceTempView(n)
+            if n in words:
+                df.createOrReplaceTempView(n)
 
     def get(self, name: str) -> DataFrame:
         if name not in FIXTURE_SQL:
             raise KeyError(f"unknown fixture {name!r}")
         for n in fixture_deps(name):
             if n not in self._built:
-                self._bind_views()
+                self._bind_views(FIXTURE_SQL[n])
                 self._built[n] = self.spark.sql(FIXTURE_SQL[n])
         return self._built[name]
 
