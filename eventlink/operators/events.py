@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_years, days_between, least_strict, stay_length
+from .ranks import numbered_keys
 
 
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
@@ -103,7 +104,8 @@ def admissions(span: DataFrame, encounters: DataFrame, death: DataFrame | None =
 def link_next_event(events: DataFrame, id: str = "patid", event: str = "encounterid",
                     start: str = "admit_date", end: str = "discharge_date",
                     carry: Sequence[str] = (), censor: str | None = "censor_date",
-                    death: str | None = "death_date", drop_nonpositive_gap: bool = True) -> DataFrame:
+                    death: str | None = "death_date", drop_nonpositive_gap: bool = True,
+                    skew_safe: bool = False) -> DataFrame:
     """Link each event to the next one of the same person (C3: W4 P11).
 
     One ``lead(struct(...))`` over one window replaces a lead per column.  Ties
@@ -112,10 +114,24 @@ def link_next_event(events: DataFrame, id: str = "patid", event: str = "encounte
     ``days_to_censor`` and ``days_to_death``.  Rows whose next event starts on
     or before their end are removed *after* linking, as the reference does
     (H4): the successor keeps its link and no gap is recomputed.
+
+    ``skew_safe=True`` avoids the person-keyed window, whose hash partitioning
+    puts all events of one person into one task: rows are numbered globally in
+    (person, start, event) order by range partitioning (a hot person spans many
+    partitions) and each row is joined to position + 1 -- an equi-join on a
+    unique key, balanced whatever the key distribution.  ``(person, start,
+    event)`` must be unique.
     """
     lead_cols = [event, start, *carry]
-    w = Window.partitionBy(id).orderBy(F.col(start), F.col(event))
-    out = events.withColumn("_nxt", F.lead(F.struct(*[F.col(c) for c in lead_cols])).over(w))
+    nxt = F.struct(*[F.col(c) for c in lead_cols])
+    if skew_safe:
+        e = with_positions(events, id, start, event)
+        n = e.select((F.col("_pos") - 1).alias("_pos"), F.col(id).alias("_nid"), nxt.alias("_nxt"))
+        out = (e.join(n, "_pos", "left")
+               .withColumn("_nxt", F.when(F.col("_nid") == F.col(id), F.col("_nxt"))).drop("_nid", "_pos"))
+    else:
+        w = Window.partitionBy(id).orderBy(F.col(start), F.col(event))
+        out = events.withColumn("_nxt", F.lead(nxt).over(w))
     out = out.select("*", *[F.col("_nxt")[c].alias(f"{c}_lead") for c in lead_cols]).drop("_nxt")
     out = (out.withColumn("los", stay_length(start, end))
            .withColumn("days_to_next", days_between(end, f"{start}_lead")))
@@ -128,6 +144,12 @@ def link_next_event(events: DataFrame, id: str = "patid", event: str = "encounte
     return out
 
 
+def with_positions(events: DataFrame, id: str, start: str, event: str, name: str = "_pos") -> DataFrame:
+    """Attach each row's global 1-based position in (id, start, event) order."""
+    num = numbered_keys(events, [id, start, event], name)
+    return events.join(num, [id, start, event]).select(*events.columns, name)
+
+
 def lookback_count(events: DataFrame, id: str = "patid", day: str = "admit_date", months: int = 12,
                    out: str = "n_prior_12m", history: DataFrame | None = None) -> DataFrame:
     """Number of distinct earlier days of the same person within the trailing
@@ -148,21 +170,33 @@ def lookback_count(events: DataFrame, id: str = "patid", day: str = "admit_date"
 
 
 def running_stats(events: DataFrame, id: str = "patid", event: str = "encounterid",
-                  start: str = "admit_date", counter: str | None = None) -> DataFrame:
+                  start: str = "admit_date", counter: str | None = None, skew_safe: bool = False) -> DataFrame:
     """Per-person total of distinct event days (W7), running count in event
     order (W8).  ``count(distinct) over`` is not a Spark window, so the total is
-    an aggregate joined back on the person key (partial aggregation first)."""
-    w = Window.partitionBy(id).orderBy(F.col(start), F.col(event))
-    c = F.col(counter) if counter else F.lit(1)
+    an aggregate joined back on the person key (partial aggregation first).
+    ``skew_safe=True`` (unit counter only) derives the running count from
+    global positions minus the person's first position."""
     totals = events.groupBy(id).agg(F.countDistinct(start).alias("n_days_total"))
-    return (events.withColumn("running_n", F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
-                              .cast("bigint"))
-            .join(totals, id, "left"))
+    if skew_safe and counter is None:
+        out = sequence_index(events, id, event, start, "running_n", skew_safe=True)
+    else:
+        w = Window.partitionBy(id).orderBy(F.col(start), F.col(event))
+        c = F.col(counter) if counter else F.lit(1)
+        out = events.withColumn("running_n", F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
+                                .cast("bigint"))
+    return out.join(totals, id, "left").select(*events.columns, "running_n", "n_days_total")
 
 
 def sequence_index(events: DataFrame, id: str = "patid", event: str = "encounterid",
-                   start: str = "admit_date", out: str = "seq") -> DataFrame:
-    """1-based position of each event within its person."""
+                   start: str = "admit_date", out: str = "seq", skew_safe: bool = False) -> DataFrame:
+    """1-based position of each event within its person (W5).  ``skew_safe``:
+    global position minus the person's first position (a per-person ``min``,
+    aggregated map-side) instead of a person-keyed window."""
+    if skew_safe:
+        e = with_positions(events, id, start, event)
+        first = e.groupBy(id).agg(F.min("_pos").alias("_first"))
+        return (e.join(first, id).withColumn(out, (F.col("_pos") - F.col("_first") + 1).cast("bigint"))
+                .select(*events.columns, out))
     w = Window.partitionBy(id).orderBy(F.col(start), F.col(event))
     return events.withColumn(out, F.row_number().over(w).cast("bigint"))
 
@@ -233,12 +267,13 @@ def group_attrition(keys: DataFrame, group: str, person: str = "patid", event: s
 def merge_sources_relink(sources: Mapping[str, DataFrame], id: str = "patid", event: str = "encounterid",
                          start: str = "admit_date", end: str = "discharge_date", carry: Sequence[str] = (),
                          censor: str | None = "censor_date", death: str | None = "death_date",
-                         src: str = "src") -> DataFrame:
+                         src: str = "src", skew_safe: bool = False) -> DataFrame:
     """Union several event sources (tagged, aligned by name; H6) and link them
     as one sequence: next event, per-person distinct-day total, running count
     and position (C22: U4 C3 W7 W8)."""
     tagged = [df.withColumn(src, F.lit(name)) for name, df in sources.items()]
     merged = union_all(tagged, allow_missing=True)
-    stats = running_stats(merged, id, event, start)
-    linked = link_next_event(stats, id, event, start, end, carry=[*carry, src], censor=censor, death=death)
-    return sequence_index(linked, id, event, start)
+    stats = running_stats(merged, id, event, start, skew_safe=skew_safe)
+    linked = link_next_event(stats, id, event, start, end, carry=[*carry, src], censor=censor, death=death,
+                             skew_safe=skew_safe)
+    return sequence_index(linked, id, event, start, skew_safe=skew_safe)

@@ -41,9 +41,12 @@ def coverage_flags():
 
 
 class Pipeline:
-    def __init__(self, fx: Fixtures, materialize_stages: bool = True):
+    def __init__(self, fx: Fixtures, materialize_stages: bool = True, skew_safe: bool = True):
         self.fx = fx
         self.materialize_stages = materialize_stages
+        # Person-keyed sequence steps without a person-keyed window (one person
+        # may hold a large share of all events).
+        self.skew_safe = skew_safe
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         # Linked events feed five downstream branches (exclusions, planned keys,
@@ -85,7 +88,7 @@ class Pipeline:
     # -- C3 / C4 --------------------------------------------------------------
     @cached_property
     def linked(self) -> DataFrame:
-        l = events.link_next_event(self.admit, carry=["enc_type", "drg", "provider_id"])
+        l = events.link_next_event(self.admit, carry=["enc_type", "drg", "provider_id"], skew_safe=self.skew_safe)
         return self._stage(events.lookback_count(l, history=self.admit), "linked")
 
     # -- C5 / C6 / C7 ---------------------------------------------------------

@@ -318,8 +318,9 @@ WHERE days_to_next > 0 OR days_to_next IS NULL"""
 
 @register("merge_sources_relink", 10, "C22 U4 P19 W7 W8", compose(_MERGE))
 def merge_sources_relink(spark, sf_dir):
-    a = _pipe(spark, sf_dir).admit
+    p = _pipe(spark, sf_dir)
+    a = p.admit
     srcs = {"EHR": a.filter(F.col("encounterid") % 2 == 0), "CMS": a.filter(F.col("encounterid") % 2 == 1)}
-    m = events.merge_sources_relink(srcs)
+    m = events.merge_sources_relink(srcs, skew_safe=p.skew_safe)
     return m.select("patid", "encounterid", "src", "encounterid_lead", "src_lead", "n_days_total", "running_n",
                     "seq", "days_to_next", "los")

@@ -114,3 +114,22 @@ def test_coverage_span_bounds(spark):
                               "patid long, start date, end date")
     out = events.coverage_span([a, b], lo="2010-01-01", hi="2019-12-31")
     assert rows(out) == [(1, D(2009, 1, 1), D(2015, 5, 5))]
+
+
+def test_skew_safe_linkage_equals_window_form_with_hot_person(spark):
+    import random
+    rnd = random.Random(11)
+    c = D(2022, 12, 31)
+    data = []
+    eid = 0
+    for p in range(60):
+        n = 300 if p == 0 else rnd.randint(1, 8)   # person 0 holds about a third of all rows
+        for _ in range(n):
+            eid += 1
+            a = D(2019, 1, 1) + dt.timedelta(days=rnd.randint(0, 900))
+            data.append((p, eid, a, a + dt.timedelta(days=rnd.randint(0, 9)), c, None))
+    df = _events(spark, data).repartition(7)
+    for fn in (lambda s: events.link_next_event(df, skew_safe=s),
+               lambda s: events.running_stats(df, skew_safe=s),
+               lambda s: events.sequence_index(df, skew_safe=s)):
+        assert rows(fn(False)) == rows(fn(True))
