@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import age_years, clip_bucket, is_digits, recode_any, recode_first
 from .events import union_all
-from .ranks import attach_scalars, numbered_keys, surrogate_id
+from .ranks import attach_scalars, exact_quantiles, numbered_keys, surrogate_id
 
 # Race code map of the analytic base (source code -> label).
 RACE_MAP = {"05": "WH", "03": "AA", "02": "AS", "01": "AI"}
@@ -116,15 +116,16 @@ def variable_profile(orig: DataFrame, row: str = "rowid", var: str = "var", val:
     """Per variable: coverage ``rt = distinct rows / N``, label-weighted rate
     ``crt = sum(label) / N`` and an imputation value (exact median of the
     all-digit values of numeric variables; NULL for categoricals) (C16: A6 A7
-    J15 J17).  N is a one-row global aggregate attached by broadcast.  The
+    J15 J17).  N is a one-row global aggregate attached by broadcast; the
+    median is exact and distributed (a variable may cover most rows).  The
     imputation table is left-joined (H19); ``faithful=True`` keeps the inner
     join, which drops numeric variables with no all-digit value."""
     n = orig.agg(F.countDistinct(row).alias("_N"))
     rt = (orig.groupBy(type_, var).agg(F.countDistinct(row).alias("_rows"), F.sum(label).alias("_lab")))
     rt = attach_scalars(rt, n).select(
         type_, var, (F.col("_rows") / F.col("_N")).alias("rt"), (F.col("_lab") / F.col("_N")).alias("crt"))
-    imp_n = (orig.filter((F.col(type_) == "N") & is_digits(val))
-             .groupBy(var).agg(F.median(F.col(val).cast("double")).alias("imp_val")))
+    imp_n = exact_quantiles(orig.filter((F.col(type_) == "N") & is_digits(val)), [var], val,
+                            {"imp_val": 0.5}).select(var, "imp_val")
     imp_c = orig.filter(F.col(type_) == "C").select(var).distinct().withColumn("imp_val", F.lit(None).cast("double"))
     imp = imp_n.unionByName(imp_c)
     return rt.join(imp, var, "inner" if faithful else "left")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import attach_scalars
+from .ranks import attach_scalars, exact_quantiles
 
 
 def entropy_profile(long: DataFrame, id: str = "patid", var: str = "var", val: str = "val",
@@ -41,13 +41,14 @@ def univariate_summary(long: DataFrame, var: str = "var", val: str = "val", type
     """Mixed univariate summary over a typed long table (A15), overall or by a
     group column.  Numeric variables: ``n, mean, sd, median, q1, q3`` (exact
     percentiles); categorical: ``n`` and ``pct`` (share of the variable's
-    non-missing rows) per level.  One aggregation per kind, no pivot."""
+    non-missing rows) per level.  Quantiles are exact and distributed
+    (:func:`ranks.exact_quantiles`), so no variable's values sit in one task."""
     g = [by] if by else []
-    num = (long.filter(F.col(type_) == "N").withColumn("_x", F.col(val).cast("double"))
-           .groupBy(*g, var).agg(
-               F.count("_x").alias("n"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("sd"),
-               F.percentile("_x", 0.5).alias("median"), F.percentile("_x", 0.25).alias("q1"),
-               F.percentile("_x", 0.75).alias("q3"))
+    numeric = long.filter(F.col(type_) == "N").withColumn("_x", F.col(val).cast("double"))
+    mom = numeric.groupBy(*g, var).agg(F.count("_x").alias("n"), F.avg("_x").alias("mean"),
+                                       F.stddev_samp("_x").alias("sd"))
+    qs = exact_quantiles(numeric, [*g, var], "_x", {"median": 0.5, "q1": 0.25, "q3": 0.75}).drop("n")
+    num = (mom.join(qs, [*g, var], "left")
            .withColumn("level", F.lit(None).cast("string")).withColumn("pct", F.lit(None).cast("double")))
     cat = long.filter(F.col(type_) == "C").groupBy(*g, var, F.col(val).alias("level")).agg(
         F.count(F.lit(1)).alias("n"))

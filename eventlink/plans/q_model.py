@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, events, features
+from ..operators import evaluate, events, features, model
 from ..sources.tables import Fixtures
 from .oracle import compose
 from .pipeline import Pipeline
@@ -324,3 +324,14 @@ def merge_sources_relink(spark, sf_dir):
     m = events.merge_sources_relink(srcs, skew_safe=p.skew_safe)
     return m.select("patid", "encounterid", "src", "encounterid_lead", "src_lead", "n_days_total", "running_n",
                     "seq", "days_to_next", "los")
+
+
+# -- step 9 -------------------------------------------------------------------
+
+@register("gbt_feature_sets", 9, "M6 M7 M8 S9 (trained models; rows-only check)")
+def gbt_feature_sets(spark, sf_dir):
+    p = _pipe(spark, sf_dir)
+    split = features.hash_split(p.base, "patid", keep=["rowid"])
+    sets = {"base": p.base_long, "sdoh_s": p.feature_long("area"), "sdoh_i": p.feature_long("person")}
+    params = dict(model.REFERENCE_PARAMS, maxDepth=5)
+    return model.gbt_feature_sets(sets, split, p.base, params=params, tree_grid=(20,))
