@@ -47,10 +47,12 @@ def surrogate_id(df: DataFrame, keys: Sequence[str], name: str = "rowid", persis
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a global aggregate (exactly one row, so a proven
-    broadcast size) to every row of ``df`` (J15)."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    """Attach the columns of a global aggregate (exactly one row) to every
+    row of ``df`` (J15) as a scalar subquery: Spark evaluates it once and reads
+    the value in each task -- no join, no cross product."""
+    cols = one_row.columns
+    sc = one_row.select(F.struct(*cols).alias("_sc")).scalar()
+    return df.withColumn("_sc", sc).select("*", *[F.col("_sc")[c].alias(c) for c in cols]).drop("_sc")
 
 
 def global_cumsum(df: DataFrame, order: Sequence[str], values: Sequence[str], descending: bool = False,
