@@ -93,17 +93,20 @@ class Pipeline:
 
     # -- C5 / C6 / C7 ---------------------------------------------------------
     @cached_property
-    def linked_persons(self) -> DataFrame:
-        return self.linked.select("patid").distinct()
+    def linked_keys(self) -> DataFrame:
+        # Exclusion keys are only ever matched against linked events (the index
+        # event itself, or the next event, which is linked too), so the code
+        # facts are cut to linked (person, event) pairs before any mapping.
+        return self.linked.select("patid", "encounterid")
 
     @cached_property
     def dx_grp(self) -> DataFrame:
-        pdx = self.fx.fx_dx.filter(F.col("pdx") == "P").join(self.linked_persons, "patid", "left_semi")
+        pdx = self.fx.fx_dx.filter(F.col("pdx") == "P").join(self.linked_keys, ["patid", "encounterid"], "left_semi")
         return codes.group_dx(pdx, self.fx.fx_dict10, self.fx.fx_dict9)
 
     @cached_property
     def px_grp(self) -> DataFrame:
-        px = self.fx.fx_px.join(self.linked_persons, "patid", "left_semi")
+        px = self.fx.fx_px.join(self.linked_keys, ["patid", "encounterid"], "left_semi")
         return codes.group_px(px, self.fx.fx_ranges, self.fx.fx_pxdict9, self.fx.fx_pxdict10)
 
     @cached_property
