@@ -143,6 +143,28 @@ def map_keyed(facts: DataFrame, arms: Sequence[tuple[str, Column, DataFrame]], t
     return facts.withColumn("_k", key).join(dict_all, [type_col, "_k"]).drop("_k")
 
 
+def map_codes(facts: DataFrame, dictionary: DataFrame, how: str, fact_key: str, dict_key: str = "code",
+              carry: Sequence[str] = ("grp",), fact_type: str | None = None, dict_type: Column | None = None,
+              transform=None, ub: str = "ub", bucket_width: int = 1000) -> DataFrame:
+    """One entry point for the three mapping kinds (J8-J12):
+    ``how='exact'`` (optionally on ``transform(fact_key)``), ``'prefix'``
+    (dictionary code is a prefix of the fact code) or ``'range'``
+    (``dict_key`` / ``ub`` are the numeric bounds)."""
+    if how == "exact":
+        key = transform(F.col(fact_key)) if transform else F.col(fact_key)
+        d = dictionary.select(F.col(dict_key).alias("_k"), *carry).distinct()
+        f = facts.withColumn("_k", key)
+        if fact_type is not None and dict_type is not None:
+            d = dictionary.select(F.col(dict_key).alias("_k"), dict_type.alias(fact_type), *carry).distinct()
+            return f.join(d, ["_k", fact_type]).drop("_k")
+        return f.join(d, "_k").drop("_k")
+    if how == "prefix":
+        return map_prefix(facts, dictionary, fact_key, dict_key, fact_type, dict_type, carry)
+    if how == "range":
+        return map_range(facts, dictionary, fact_key, dict_key, ub, carry, bucket_width=bucket_width)
+    raise ValueError(f"how must be exact, prefix or range; got {how!r}")
+
+
 def group_dx(dx: DataFrame, dict10: DataFrame, dict9: DataFrame, code: str = "dx", type_col: str = "dx_type",
              out: str = "grp") -> DataFrame:
     """Diagnosis codes -> groups (C5): ICD-10 by dot-stripped code, ICD-9 by

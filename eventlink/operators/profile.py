@@ -69,3 +69,10 @@ def pivot_fill(long: DataFrame, row: str, var: str, val: str, variables: Sequenc
     w = (long.filter(F.col(var).isin(list(variables)))
          .groupBy(row).pivot(var, list(variables)).agg(F.min(val)))
     return w.fillna(fill, subset=list(variables))
+
+
+def collapse_labels(df: DataFrame, group: Sequence[str], label: str, sep: str = "\n",
+                    out: str = "labels") -> DataFrame:
+    """All labels of a group in one text, sorted, joined by ``sep`` (A11).  The
+    list per group is bounded by the group's distinct labels."""
+    return df.groupBy(*group).agg(F.array_join(F.sort_array(F.collect_set(label)), sep).alias(out))

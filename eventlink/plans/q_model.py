@@ -9,7 +9,7 @@ from ..operators import evaluate, events, features, model
 from ..sources.tables import Fixtures
 from .oracle import compose
 from .pipeline import Pipeline
-from .q_features import _DICT_ORACLE, dictionary
+from .q_features import _DICT_ORACLE, _entropy_sql, dictionary
 from .registry import register
 
 
@@ -335,3 +335,37 @@ def gbt_feature_sets(spark, sf_dir):
     sets = {"base": p.base_long, "sdoh_s": p.feature_long("area"), "sdoh_i": p.feature_long("person")}
     params = dict(model.REFERENCE_PARAMS, maxDepth=5)
     return model.gbt_feature_sets(sets, split, p.base, params=params, tree_grid=(20,))
+
+
+# -- report tables (A11, A14, J24) --------------------------------------------
+
+@register("collapse_labels", 8, "A11 (labels per group joined by newline)", compose(
+    "SELECT var_domain, array_to_string(list_sort(list_distinct(list(var))), chr(10)) AS labels "
+    "FROM o_dict GROUP BY var_domain", ("o_dict", _DICT_ORACLE)))
+def collapse_labels(spark, sf_dir):
+    from ..operators.profile import collapse_labels as collapse
+    return collapse(dictionary(spark, Fixtures(spark, sf_dir)), ["var_domain"], "var")
+
+
+@register("label_counts", 5, "A14 (events and persons per label)", compose(
+    "SELECT label, COUNT(DISTINCT encounterid) AS events, COUNT(DISTINCT patid) AS persons FROM o_label GROUP BY label"))
+def label_counts(spark, sf_dir):
+    return (_pipe(spark, sf_dir).eligible.groupBy("label")
+            .agg(F.countDistinct("encounterid").alias("events"), F.countDistinct("patid").alias("persons")))
+
+
+_OVERVIEW = """
+SELECT d.var, d.var_label, d.var_domain, p.type, p.rt, p.crt, p.imp_val, e.pe, e.ee1, e.ee2
+FROM o_dict d JOIN o_s_prof p ON d.var = p.var JOIN o_ent e ON d.var = e.var"""
+
+
+@register("variable_overview", 6, "J24 (selection x coverage x entropy)",
+          compose(_OVERVIEW, ("o_dict", _DICT_ORACLE),
+                  ("o_ent", _entropy_sql("o_area_long", "ctx_id", False))))
+def variable_overview(spark, sf_dir):
+    from ..operators import profile as prof
+    p = _pipe(spark, sf_dir)
+    d = dictionary(spark, p.fx)
+    ent = prof.entropy_profile(p.area_long, id="ctx_id").select("var", _r("pe"), _r("ee1"), _r("ee2"))
+    return (d.join(p.profile("area"), "var").join(ent, "var")
+            .select("var", "var_label", "var_domain", "type", "rt", "crt", "imp_val", "pe", "ee1", "ee2"))

@@ -1 +1,2 @@
+from .lookup import append_conform, build_once, read_lookup, write_summary_csv  # noqa: F401
 from .tables import DRIVER_TABLES, Fixtures, fixture_ctes, read_table  # noqa: F401
