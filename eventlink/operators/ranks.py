@@ -23,11 +23,12 @@ _LOCAL_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row i
 def numbered_keys(df: DataFrame, keys: Sequence[str], name: str = "rowid", partitions: int | None = None,
                   descending: bool = False, persist: bool = True) -> DataFrame:
     """Distinct ``keys`` with a dense 1-based rank ``name`` in key order."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(k).desc() if descending else F.col(k).asc() for k in keys]
-    k = (df.select(*keys).distinct().repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("_m", F.monotonically_increasing_id()))
+    d = df.select(*keys).distinct()
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (coalescing adjacent ranges keeps the order, so the numbering holds).
+    d = d.repartitionByRange(partitions, *order) if partitions else d.repartitionByRange(*order)
+    k = d.sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     if persist:
         k = materialize(k, f"keys-{name}")
     k = k.withColumn("_p", F.shiftright("_m", _LOCAL_BITS)).withColumn(

@@ -37,20 +37,28 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "event
     return spark
 
 
+def _configured_dir(spark: SparkSession) -> str | None:
+    return (spark.sparkContext.getCheckpointDir()
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.checkpoint.dir", None))
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Return the cluster's checkpoint dir; set ``fallback`` only when unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Return the cluster's checkpoint dir; set ``fallback`` only when unset.
+
+    ``spark.checkpoint.dir`` is a static setting, so an unset dir is given to
+    the running context with ``setCheckpointDir`` (never ``conf.set``)."""
+    current = _configured_dir(spark)
     if current:
         return current
-    spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return spark.sparkContext.getCheckpointDir() or fallback
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder: ``spark.checkpoint.dir`` when the cluster
     names one, else a folder under the (shared) warehouse dir."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = _configured_dir(spark)
     if not d:
         wh = spark.conf.get("spark.sql.warehouse.dir")
         d = wh.rstrip("/") + "/_eventlink_checkpoints"
