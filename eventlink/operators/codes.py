@@ -201,8 +201,8 @@ def exclude_by_group(events: DataFrame, mapped: DataFrame, exclusions: DataFrame
     Groups are compared as strings (H11)."""
     ex = exclusions.select(F.col(excl_grp).cast("string").alias("_g"), *carry).distinct()
     m = mapped.select(id, event, F.col(grp).cast("string").alias("_g")).distinct()
-    return (events.select(id, event).distinct().join(m, [id, event]).join(ex, "_g")
-            .withColumnRenamed("_g", grp))
+    return (m.join(ex, "_g").join(events.select(id, event), [id, event], "left_semi")
+            .withColumnRenamed("_g", grp).select(id, event, grp, *carry))
 
 
 def history_score(dx: DataFrame, prefix_dict: DataFrame, events: DataFrame, id: str = "patid",

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_years, days_between, least_strict, stay_length
-from .ranks import numbered_keys
+from .ranks import numbered_rows
 
 
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
@@ -145,9 +145,9 @@ def link_next_event(events: DataFrame, id: str = "patid", event: str = "encounte
 
 
 def with_positions(events: DataFrame, id: str, start: str, event: str, name: str = "_pos") -> DataFrame:
-    """Attach each row's global 1-based position in (id, start, event) order."""
-    num = numbered_keys(events, [id, start, event], name)
-    return events.join(num, [id, start, event]).select(*events.columns, name)
+    """Attach each row's global 1-based position in (id, start, event) order
+    (range partitioned and written once, so positions are fixed)."""
+    return numbered_rows(events, [id, start, event], name)
 
 
 def lookback_count(events: DataFrame, id: str = "patid", day: str = "admit_date", months: int = 12,

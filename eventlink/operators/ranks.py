@@ -42,6 +42,25 @@ def numbered_keys(df: DataFrame, keys: Sequence[str], name: str = "rowid", parti
             .select(*keys, (F.col("_off") + F.col("_l") + 1).cast("bigint").alias(name)))
 
 
+def numbered_rows(df: DataFrame, order: Sequence[str], name: str = "_pos", descending: bool = False,
+                  persist: bool = True) -> DataFrame:
+    """Every row of ``df`` with its 1-based position in ``order`` (which should
+    be unique).  Like :func:`numbered_keys` but numbers the rows themselves: no
+    distinct and no join back, one range shuffle and one write."""
+    cols = [F.col(k).desc() if descending else F.col(k).asc() for k in order]
+    k = df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_m", F.monotonically_increasing_id())
+    if persist:
+        k = materialize(k, f"rows-{name}")
+    k = k.withColumn("_p", F.shiftright("_m", _LOCAL_BITS))
+    counts = k.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn(
+        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)))
+    pos = F.col("_off") + F.col("_m") - F.shiftleft(F.col("_p"), _LOCAL_BITS) + 1
+    return (k.join(F.broadcast(offsets.select("_p", "_off")), "_p")
+            .select(*df.columns, pos.cast("bigint").alias(name)))
+
+
 def surrogate_id(df: DataFrame, keys: Sequence[str], name: str = "rowid", persist: bool = True) -> DataFrame:
     """``dense_rank() over (order by keys)`` attached to every row."""
     return df.join(numbered_keys(df, keys, name, persist=persist), list(keys))
@@ -97,7 +116,7 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dic
     if tie is None:
         base = base.withColumn("_tie", F.monotonically_increasing_id())
         tie = "_tie"
-    pos = numbered_keys(base, [*groups, "_v", tie], "_pos")
+    pos = numbered_rows(base, [*groups, "_v", tie], "_pos")
     g = pos.groupBy(*groups).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
     looked = pos.select(*groups, "_pos", "_v")
     out = g

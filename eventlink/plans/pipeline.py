@@ -202,6 +202,13 @@ class Pipeline:
                                      (F.col("rt") >= 0.01) | (F.col("type") == "C"), person_key="patid",
                                      attr_person="patid", row_cols=ROW_COLS)
 
+    @cached_property
+    def features_all(self) -> DataFrame:
+        """Union of both feature sets (SI_LONG), written once: the encoder,
+        sparse rows, importance and shared-feature steps all read it."""
+        f = self.feature_long("area").unionByName(self.feature_long("person")).distinct()
+        return self._stage(f, "features_all")
+
 
 COHORT_COLUMNS = ["patid", "birth_date", "sex", "race", "hispanic", "enr_start", "enr_end", "ctx_id", "first_value",
                   "first_date", "age_at_enr_start", "enr_dur"]

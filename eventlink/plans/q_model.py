@@ -94,7 +94,7 @@ DOMAIN_RULES = [("^PERSON", "i_sdh"), ("DRG", "base")]
 
 
 def _feat_all(p: Pipeline):
-    return p.feature_long("area").unionByName(p.feature_long("person")).distinct()
+    return p.features_all
 
 
 def _encoder(spark, p: Pipeline, feats=None):
