@@ -274,7 +274,7 @@ EFFECT_BOUNDS = {"purchase": (None, 8.0), "view": (1.0, None)}
 def effects_from_events(fx: Fixtures):
     ev = fx.table("events").select(F.col("event_type").alias("var"), "value")
     mean = ev.groupBy("var").agg(F.avg("value").alias("_mu"))
-    return (ev.join(F.broadcast(mean), "var")
+    return (ev.join(mean, "var")
             .select("var", F.floor(F.col("value") / 10).cast("double").alias("val"),
                     ((F.col("value") - F.col("_mu")) / 100).alias("effect")))
 
