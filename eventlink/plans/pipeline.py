@@ -175,8 +175,14 @@ class Pipeline:
     def base(self) -> DataFrame:
         b = features.analytic_base(self.eligible, self.cohort, self.fx.fx_person_alt, self.history, self.obesity,
                                    self.drg_groups, with_id=False)
-        b = self._stage(b, "base")
-        return ranks.surrogate_id(b, ["patid", "encounterid"], "rowid").select(*BASE_COLUMNS)
+        # One row per (person, event), so the dense rank is the row position:
+        # numbering the rows writes the base once with its ids (no distinct,
+        # no join back).
+        if self.materialize_stages:
+            b = ranks.numbered_rows(b, ["patid", "encounterid"], "rowid")
+        else:
+            b = ranks.surrogate_id(b, ["patid", "encounterid"], "rowid", persist=False)
+        return b.select(*BASE_COLUMNS)
 
     @cached_property
     def base_long(self) -> DataFrame:
