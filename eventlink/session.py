@@ -86,3 +86,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     stage boundaries the pipeline reuses (admissions, linked events, labels).
     """
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: float, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    * scan splits of ``target_partition_bytes`` (256 MB: ~400k tasks for 100 TB);
+    * initial shuffle partitions = max(input / target, 3 x cores), so a shuffle
+      of the whole input still gives ~256 MB partitions that fit executor memory
+      and sort without heavy spill; AQE then coalesces small ones;
+    * skew join on, with thresholds at the same partition size: a hot person or
+      geocode partition is split and the other side replicated;
+    * broadcast threshold kept at 64 MB; AQE applies it to measured sizes.
+    """
+    shuffle = max(int(input_bytes // target_partition_bytes), 3 * int(total_cores))
+    size = f"{target_partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }
