@@ -7,6 +7,7 @@ operators reach the parquet scan through the views (Catalyst inlines them).
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,30 +61,43 @@ class Fixtures:
         self.sf_dir = sf_dir.rstrip("/")
         self._built: dict[str, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
+        self._tag = uuid.uuid4().hex[:8]
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = read_table(self.spark, self.sf_dir, name)
         return self._tables[name]
 
-    def _bind_views(self, sql: str) -> None:
-        # Views are resolved when spark.sql analyses a text, so re-binding the
-        # ones a text reads keeps instances for different directories apart.
+    def _bound_sql(self, sql: str) -> tuple[str, list[str]]:
+        """Register the tables/views a fixture text reads under names private
+        to this instance and return the text rewritten to use them, so no
+        session-wide view such as ``orders`` is created or replaced."""
+        def alias(name: str) -> str:
+            return f"__eventlink_{self._tag}_{name}"
+
         words = set(re.findall(r"\b\w+\b", sql))
+        views = []
         for t in DRIVER_TABLES:
             if t in words:
-                self.table(t).createOrReplaceTempView(t)
+                self.table(t).createOrReplaceTempView(alias(t))
+                views.append(alias(t))
+                sql = re.sub(rf"\b{t}\b", alias(t), sql)
         for n, df in self._built.items():
             if n in words:
-                df.createOrReplaceTempView(n)
+                df.createOrReplaceTempView(alias(n))
+                views.append(alias(n))
+                sql = re.sub(rf"\b{n}\b", alias(n), sql)
+        return sql, views
 
     def get(self, name: str) -> DataFrame:
         if name not in FIXTURE_SQL:
             raise KeyError(f"unknown fixture {name!r}")
         for n in fixture_deps(name):
             if n not in self._built:
-                self._bind_views(FIXTURE_SQL[n])
-                self._built[n] = self.spark.sql(FIXTURE_SQL[n])
+                sql, views = self._bound_sql(FIXTURE_SQL[n])
+                self._built[n] = self.spark.sql(sql)  # analysed now: the views are resolved into the plan
+                for v in views:
+                    self.spark.catalog.dropTempView(v)
         return self._built[name]
 
     def __getattr__(self, name: str) -> DataFrame:
