@@ -20,6 +20,13 @@ from ..functions.columns import age_years, days_between, least_strict, stay_leng
 from .ranks import numbered_rows
 
 
+# Admission encounter types, and discharge statuses / dispositions
+# that exclude an index event (died, against advice, transfers).
+ADMISSION_TYPES = ("IP", "EI")
+EXCLUDED_STATUS = ("AM", "EX", "IP", "SH")
+EXCLUDED_DISPOSITION = ("E",)
+
+
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), dfs)
 
@@ -87,7 +94,7 @@ def build_cohort(people: DataFrame, span: DataFrame, crosswalk: DataFrame, measu
 
 
 def admissions(span: DataFrame, encounters: DataFrame, death: DataFrame | None = None,
-               id: str = "patid", admit: str = "admit_date", types: Iterable[str] = ("IP", "EI"),
+               id: str = "patid", admit: str = "admit_date", types: Iterable[str] = ADMISSION_TYPES,
                type_col: str = "enc_type", enr_start: str = "enr_start", enr_end: str = "enr_end",
                death_date: str = "death_date") -> DataFrame:
     """Hospital admissions inside each person's coverage span, with censor and
@@ -204,8 +211,8 @@ def sequence_index(events: DataFrame, id: str = "patid", event: str = "encounter
 def eligible_readmissions(linked: DataFrame, index_keys: DataFrame | None, planned_keys: DataFrame | None,
                           id: str = "patid", event: str = "encounterid", horizon: int = 30,
                           planned: str = "downgrade",
-                          bad_status: Iterable[str] = ("AM", "EX", "IP", "SH"),
-                          bad_disposition: Iterable[str] = ("E",),
+                          bad_status: Iterable[str] = EXCLUDED_STATUS,
+                          bad_disposition: Iterable[str] = EXCLUDED_DISPOSITION,
                           status: str = "discharge_status", disposition: str = "discharge_disposition",
                           count_death: bool = False, label: str = "label") -> DataFrame:
     """Apply the exclusion rules and label a readmission within ``horizon``

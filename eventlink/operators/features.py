@@ -16,6 +16,8 @@ from .ranks import attach_scalars, exact_quantiles, numbered_keys, surrogate_id
 RACE_MAP = {"05": "WH", "03": "AA", "02": "AS", "01": "AI"}
 # Comorbidity classes (inclusive bounds, label).
 CCI_CLASSES = [(1, 2, "CCI1"), (3, 4, "CCI2"), (5, None, "CCI3")]
+# Diagnosis code prefixes that mark obesity.
+OBESITY_PREFIXES = ("278", "E66", "Z68.3", "Z68.4")
 
 
 def freq_regroup(df: DataFrame, col: str, min_share: float | None = 0.01, min_count: int | None = None,
@@ -77,7 +79,7 @@ def analytic_base(labelled: DataFrame, people: DataFrame, alt_people: DataFrame,
 
 
 def obesity_onset(first_measure: DataFrame, dx: DataFrame, id: str = "patid",
-                  prefixes: Sequence[str] = ("278", "E66", "Z68.3", "Z68.4")) -> DataFrame:
+                  prefixes: Sequence[str] = OBESITY_PREFIXES) -> DataFrame:
     """Earliest of the first qualifying measurement and any diagnosis whose
     code starts with one of ``prefixes`` (P7)."""
     cond = None
