@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import attributes, codes, events, features, profile
+from ..operators import attributes, features, profile
 from ..operators.ranks import numbered_keys
 from ..sources.tables import Fixtures
 from . import oracle_attrs  # noqa: F401  (registers oracle CTEs)
 from .oracle import compose
 from .oracle_attrs import encode_sql
-from .pipeline import (AREA_SELECTION, BASE_CATEGORICAL, BASE_COLUMNS, BASE_NUMERIC, PERSON_SELECTION,
-                       Pipeline, coverage_flags)
+from .pipeline import AREA_SELECTION, BASE_CATEGORICAL, BASE_COLUMNS, BASE_NUMERIC, PERSON_SELECTION, Pipeline
 from .registry import register
 
 
