@@ -37,7 +37,7 @@ def entropy_profile(long: DataFrame, id: str = "patid", var: str = "var", val: s
 
 
 def univariate_summary(long: DataFrame, var: str = "var", val: str = "val", type_: str = "type",
-                       by: str | None = None) -> DataFrame:
+                       by: str | None = None, labels: DataFrame | None = None) -> DataFrame:
     """Mixed univariate summary over a typed long table (A15), overall or by a
     group column.  Numeric variables: ``n, mean, sd, median, q1, q3`` (exact
     percentiles); categorical: ``n`` and ``pct`` (share of the variable's
@@ -58,7 +58,11 @@ def univariate_summary(long: DataFrame, var: str = "var", val: str = "val", type
            .withColumn("median", F.lit(None).cast("double")).withColumn("q1", F.lit(None).cast("double"))
            .withColumn("q3", F.lit(None).cast("double")))
     cols = [*g, var, "level", "n", "pct", "mean", "sd", "median", "q1", "q3"]
-    return num.select(*cols).unionByName(cat.select(*cols))
+    out = num.select(*cols).unionByName(cat.select(*cols))
+    if labels is not None:  # (var, var_label): pretty names, the variable itself when unlabelled
+        lab = labels.select(F.col("var").alias(var), "var_label").dropDuplicates([var])
+        out = out.join(lab, var, "left").withColumn("var_label", F.coalesce("var_label", var))
+    return out
 
 
 def pivot_fill(long: DataFrame, row: str, var: str, val: str, variables: Sequence[str],

@@ -76,7 +76,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no footer/inference pass
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -32,3 +32,10 @@ def test_pivot_fill(spark):
     df = spark.createDataFrame([(1, "A", "x"), (1, "B", "y"), (2, "A", "z")], "id long, var string, val string")
     out = {r.id: (r.A, r.B) for r in profile.pivot_fill(df, "id", "var", "val", ["A", "B"]).collect()}
     assert out == {1: ("x", "y"), 2: ("z", "NI")}
+
+
+def test_univariate_summary_labels(spark):
+    df = spark.createDataFrame([(1, "AGE", "10", "N"), (2, "SEX", "F", "C")], "rowid long, var string, val string, type string")
+    lab = spark.createDataFrame([("AGE", "Age in years")], "var string, var_label string")
+    out = {r.var: r.var_label for r in profile.univariate_summary(df, labels=lab).collect()}
+    assert out == {"AGE": "Age in years", "SEX": "SEX"}
