@@ -78,8 +78,12 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 def global_cumsum(df: DataFrame, order: Sequence[str], values: Sequence[str], descending: bool = False,
                   suffix: str = "_cum") -> DataFrame:
     """Running sums of ``values`` in the global order of ``order`` (unique
-    keys), computed per range partition plus partition offsets (used by the
-    ROC / precision-recall evaluation on distinct scores)."""
+    keys), used by the ROC / precision-recall evaluation on distinct scores.
+
+    Rows get their global position (:func:`numbered_keys`), are cut into
+    ``shuffle.partitions`` blocks of consecutive positions, summed cumulatively
+    inside each block (a window partitioned by block), and shifted by the
+    running total of the preceding blocks (a table with one row per block)."""
     num = numbered_keys(df, order, "_pos", descending=descending)
     d = df.join(num, list(order))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
