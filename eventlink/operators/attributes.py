@@ -209,3 +209,25 @@ def catalog_dictionary(spark: SparkSession, tables: Mapping[str, DataFrame], lab
     lab = labels.select(F.upper("var").alias("var"), "var_label").distinct()
     return (cat.join(lab, "var", "left")
             .withColumn("var_label", F.coalesce("var_label", "var")))
+
+
+def catalog_from_data(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], labels: DataFrame | None = None,
+                      exclude_like: Sequence[str] = ("Z_REF%",)) -> DataFrame:
+    """Variables present in a set of wide tables, found in the data: every
+    non-key column is unpivoted (one ``unpivot`` per table) and a variable is
+    listed when it holds at least one value (S6 J20).  ``tables`` maps a name
+    to ``(frame, key columns)``; output ``(var_domain, var, var_label)`` with
+    the label from ``labels`` ``(var, var_label)`` or the name itself."""
+    globs = [_like_to_glob(p).upper() for p in exclude_like]
+    arms = []
+    for name, (df, keys) in tables.items():
+        if any(fnmatch.fnmatchcase(name.upper(), g) for g in globs):
+            continue
+        cols = [c for c in df.columns if c not in keys]
+        arms.append(_unpivot(df, list(keys), cols, "C", name).select(F.col("src").alias("var_domain"), "var")
+                    .distinct())
+    cat = union_all(arms)
+    if labels is None:
+        return cat.withColumn("var_label", F.col("var"))
+    lab = labels.select(F.upper("var").alias("var"), "var_label").dropDuplicates(["var"])
+    return cat.join(lab, "var", "left").withColumn("var_label", F.coalesce("var_label", "var"))
