@@ -50,3 +50,20 @@ def test_map_codes_dispatch(spark):
     assert rows(pr, ["id", "grp"]) == [(1, "p")]
     r = spark.createDataFrame([("100", "199", "r")], "code string, ub string, grp string")
     assert rows(codes.map_codes(facts, r, "range", "c"), ["id", "grp"]) == [(2, "r")]
+
+
+def test_catalog_from_data_lists_filled_columns(spark):
+    from eventlink.operators import attributes
+    a = spark.createDataFrame([("g1", "x", None), ("g2", None, None)], "geocode string, c1 string, c2 string")
+    z = spark.createDataFrame([("k", "lbl")], "code string, description string")
+    out = attributes.catalog_from_data({"A": (a, ["geocode"]), "Z_REF_X": (z, ["code"])},
+                                       labels=spark.createDataFrame([("c1", "Column one")], "var string, var_label string"))
+    assert rows(out, ["var_domain", "var", "var_label"]) == [("A", "C1", "Column one")]
+
+
+def test_write_tables(spark):
+    from eventlink.plans.run import write_tables
+    out = tempfile.mkdtemp(prefix="tables-", dir="/tmp")
+    done = write_tables(spark, "/root/testdata/sf0.001", out, ["coverage_span", "map_range"])
+    assert done == ["coverage_span", "map_range"]
+    assert spark.read.parquet(f"{out}/coverage_span").count() > 0
