@@ -122,17 +122,24 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dic
         tie = "_tie"
     pos = numbered_rows(base, [*groups, "_v", tie], "_pos")
     g = pos.groupBy(*groups).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    looked = pos.select(*groups, "_pos", "_v")
-    out = g
-    for name, p in probs.items():
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        t = g.select(*groups, "_start", "_n", h.alias("_h"),
-                     (F.col("_start") + F.floor(h)).cast("bigint").alias("_lo"),
-                     (F.col("_start") + F.ceil(h)).cast("bigint").alias("_hi"))
-        lo = looked.select(*groups, F.col("_pos").alias("_lo"), F.col("_v").alias("_vlo"))
-        hi = looked.select(*groups, F.col("_pos").alias("_hi"), F.col("_v").alias("_vhi"))
-        q = (t.join(lo, [*groups, "_lo"]).join(hi, [*groups, "_hi"])
-             .select(*groups, (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo")))
-                     .alias(name)))
-        out = out.join(q, list(groups), "left")
+    # Target ranks of every probability: one small table (groups x probs).
+    t = g.select(*groups, "_start", "_n", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("q"), F.lit(float(p)).alias("p")) for name, p in probs.items()])).alias("_t"))
+    t = t.select(*groups, "_n", F.col("_t.q").alias("q"), ((F.col("_n") - 1) * F.col("_t.p")).alias("_h"),
+                 (F.col("_start") + F.floor((F.col("_n") - 1) * F.col("_t.p"))).cast("bigint").alias("_lo"),
+                 (F.col("_start") + F.ceil((F.col("_n") - 1) * F.col("_t.p"))).cast("bigint").alias("_hi"))
+    # One pass over the numbered rows: each target's two global positions are
+    # joined to the rows once (positions are unique: a plain equi-join against
+    # a table of at most groups x probs x 2 rows).
+    e = t.select(*groups, "_n", "q", "_h", F.explode(F.array(
+        F.struct(F.lit(0).alias("w"), F.col("_lo").alias("_pos")),
+        F.struct(F.lit(1).alias("w"), F.col("_hi").alias("_pos")))).alias("_e"))
+    e = e.select(*groups, "_n", "q", "_h", F.col("_e.w").alias("_w"), F.col("_e._pos").alias("_pos"))
+    j = e.join(pos.select("_pos", "_v"), "_pos")
+    q = (j.groupBy(*groups, "_n", "q", "_h")
+         .agg(F.max(F.when(F.col("_w") == 0, F.col("_v"))).alias("_vlo"),
+              F.max(F.when(F.col("_w") == 1, F.col("_v"))).alias("_vhi"))
+         .select(*groups, "_n", "q",
+                 (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("_x")))
+    out = q.groupBy(*groups, "_n").pivot("q", list(probs)).agg(F.first("_x"))
     return out.drop("_start").withColumnRenamed("_n", "n")
