@@ -36,3 +36,16 @@ def test_global_cumsum(spark):
     for i in reversed(range(50)):
         acc += i % 3
         assert by[float(i)] == acc
+
+
+def test_exact_quantiles_hot_group_spans_partitions(spark):
+    rng = np.random.default_rng(9)
+    hot = rng.integers(0, 50, 900).astype(float)          # many ties in the hot group
+    data = [("hot", float(v)) for v in hot]
+    cold = {f"g{i}": rng.random(30) for i in range(60)}
+    data += [(g, float(v)) for g, arr in cold.items() for v in arr]
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    q = {r.g: r for r in ranks.exact_quantiles(df, ["g"], "v", {"m": 0.5, "q9": 0.9}).collect()}
+    assert abs(q["hot"].m - np.quantile(hot, 0.5)) < 1e-12 and abs(q["hot"].q9 - np.quantile(hot, 0.9)) < 1e-12
+    for g, arr in cold.items():
+        assert abs(q[g].m - np.quantile(arr, 0.5)) < 1e-12
