@@ -100,25 +100,31 @@ def map_prefix(facts: DataFrame, dictionary: DataFrame, code: str, dict_code: st
 
 def map_range(facts: DataFrame, ranges: DataFrame, code: str, lb: str = "lb", ub: str = "ub",
               carry: Sequence[str] = ("grp",), fact_filter: Column | None = None,
-              bucket_width: int = 1000) -> DataFrame:
+              bucket_width: int | str = 1000) -> DataFrame:
     """Numeric range join ``num(code) BETWEEN num(lb) AND num(ub)``, with the
     code and the lower bound guarded to be all digits (J10).
 
     Distinct numeric codes are bucketed by ``floor(v / bucket_width)``; each
     range is exploded over the buckets it covers (``(ub-lb)/width + 1`` rows,
     never per value), joined on the bucket, and the exact BETWEEN is the
-    residual.  Exact for any bounds.
+    residual.  Exact for any bounds.  ``bucket_width="auto"`` uses the
+    median span of the ranges (at least 1), attached as a scalar subquery of
+    the range dictionary, so a typical range covers one or two buckets.
     """
     f = facts if fact_filter is None else facts.filter(fact_filter)
     f = f.filter(is_digits(code))
-    codes = (f.select(F.col(code).alias("_c")).distinct()
-             .withColumn("_v", F.col("_c").cast("double"))
-             .withColumn("_b", F.floor(F.col("_v") / bucket_width)))
     r = (ranges.filter(is_digits(lb))
          .select(F.col(lb).try_cast("double").alias("_lo"), F.col(ub).try_cast("double").alias("_hi"), *carry)
-         .filter(F.col("_hi").isNotNull() & (F.col("_hi") >= F.col("_lo")))
-         .withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / bucket_width),
-                                                F.floor(F.col("_hi") / bucket_width)))))
+         .filter(F.col("_hi").isNotNull() & (F.col("_hi") >= F.col("_lo"))))
+    if bucket_width == "auto":
+        width = r.select(F.greatest(F.lit(1.0), F.ceil(F.median(F.col("_hi") - F.col("_lo")))).cast("double")
+                         ).scalar()
+    else:
+        width = F.lit(float(bucket_width))
+    codes = (f.select(F.col(code).alias("_c")).distinct()
+             .withColumn("_v", F.col("_c").cast("double"))
+             .withColumn("_b", F.floor(F.col("_v") / width)))
+    r = r.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width))))
     m = (codes.join(r, "_b").filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
          .select(F.col("_c").alias(code), *carry))
     return f.join(m, code)

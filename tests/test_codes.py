@@ -27,8 +27,9 @@ def test_range_join_bounds_inclusive(spark):
                                    (7, "5000")], "id long, px string")
     ranges = spark.createDataFrame([("100", "149", "a"), ("120", "130", "b"), ("4000", "60000", "c"),
                                     ("x10", "x20", "z"), ("150", "1T", "bad")], "lb string, ub string, grp string")
-    out = codes.map_range(facts, ranges, "px", bucket_width=7)
-    assert rows(out, ["id", "grp"]) == [(1, "a"), (2, "a"), (5, "a"), (5, "b"), (7, "c")]
+    for width in (7, "auto"):
+        out = codes.map_range(facts, ranges, "px", bucket_width=width)
+        assert rows(out, ["id", "grp"]) == [(1, "a"), (2, "a"), (5, "a"), (5, "b"), (7, "c")]
 
 
 def test_group_px_arms(spark):
