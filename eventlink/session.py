@@ -66,6 +66,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete every stage table this process wrote with :func:`materialize`
+    (call when the DataFrames built on them are no longer needed)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the checkpoint folder and read it back.
 
@@ -76,6 +92,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer/inference pass
 
 

@@ -67,3 +67,13 @@ def test_write_tables(spark):
     done = write_tables(spark, "/root/testdata/sf0.001", out, ["coverage_span", "map_range"])
     assert done == ["coverage_span", "map_range"]
     assert spark.read.parquet(f"{out}/coverage_span").count() > 0
+
+
+def test_drop_materialized(spark):
+    from eventlink.session import _WRITTEN, drop_materialized, materialize
+    before = len(_WRITTEN)
+    m = materialize(spark.range(5), "tmp")
+    assert m.count() == 5 and len(_WRITTEN) == before + 1
+    path = _WRITTEN[-1]
+    assert drop_materialized(spark) >= 1 and not _WRITTEN
+    assert not os.path.exists(path.replace("file:", ""))
