@@ -96,15 +96,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer/inference pass
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint.
-
-    Requires a checkpoint dir (see :func:`ensure_checkpoint_dir`).  Used at the
-    stage boundaries the pipeline reuses (admissions, linked events, labels).
-    """
-    return df.checkpoint(eager=True)
-
-
 def cluster_conf(input_bytes: float, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a large cluster, sized from the input volume.
 
