@@ -38,3 +38,25 @@ judged AS (SELECT rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_re
 HOST_QUALITY = "WITH " + HOST_QUALITY_ROWS.format(docs="documents") + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged
 """
+
+CONTAMINATION = r"""
+WITH fold AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS big, 'abcdefghijklmnopqrstuvwxyz' AS small),
+iw AS (SELECT item_id, regexp_extract_all(translate(text, big, small), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+       FROM benchmark, fold),
+win AS (SELECT DISTINCT item_id, least(13, len(w)) AS l, array_to_string(w[p:p + least(13, len(w)) - 1], ' ') AS t
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p FROM iw WHERE len(w) > 0)),
+dw AS (SELECT row_number() OVER () AS rid, doc_id,
+              coalesce(regexp_extract_all(translate(text, big, small), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+       FROM documents, fold),
+spot AS (SELECT rid, l, p, array_to_string(w[p:p + l - 1], ' ') AS t
+         FROM (SELECT rid, w, l, unnest(range(1, len(w) - l + 2)) AS p
+               FROM dw, (SELECT DISTINCT l FROM win))),
+hit AS (SELECT rid, p, l, item_id FROM spot JOIN win USING (l, t)),
+nh AS (SELECT rid, count(DISTINCT q) AS n FROM (SELECT rid, unnest(range(p, p + l)) AS q FROM hit) GROUP BY rid),
+it AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(nh.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(nh.n, 0) > 0 AND 20 * coalesce(nh.n, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN nh USING (rid) LEFT JOIN it USING (rid)
+"""
