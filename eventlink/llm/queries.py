@@ -10,16 +10,60 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracles
 from .common import table
 from .host_quality import host_quality
+from .packing import pack, packed_digest
+from .secret_scan import find_secrets
+from .simhash import simhash_groups
+from .token_counts import token_counts
+from .token_files import ids_digest, token_files
+from .toxicity import toxicity
+from .winnow import contamination
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination(docs, items).drop("digest")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(pack(table(spark, sf_dir, "documents")))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ids_digest(token_files(table(spark, sf_dir, "documents")))
 
 
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), width=4, distance=4)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_packing": op2_packing,
+    "op3_token_files": op3_token_files,
     "op5_host_quality": op5_host_quality,
+    "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
+    "op8_token_counts": op8_token_counts,
+    "op9_secret_scans": op9_secret_scans,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_benchmark_decontamination": oracles.CONTAMINATION,
     "op5_host_quality": oracles.HOST_QUALITY,
 }
