@@ -60,3 +60,56 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(nh.n, 0)::BIGINT AS n_hit, co
        coalesce(nh.n, 0) > 0 AND 20 * coalesce(nh.n, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN nh USING (rid) LEFT JOIN it USING (rid)
 """
+
+URL_VERDICTS = r"""
+WITH RECURSIVE raw AS (SELECT row_number() OVER () AS rid, page_id, url, html FROM pages),
+urls AS (SELECT DISTINCT url FROM raw WHERE url IS NOT NULL),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\s[^>]*>')) AS tag FROM raw
+         WHERE url IS NOT NULL AND html IS NOT NULL),
+links AS (SELECT url, CASE WHEN regexp_matches(tag, '(?i)^<link\s')
+                           THEN regexp_extract(tag, '(?i)\shref\s*=\s*["'']?([^\s"''>]+)', 1)
+                           ELSE regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''>]+)', 1) END AS link
+          FROM tags WHERE regexp_matches(tag, '(?i)\srel\s*=\s*["'']?\s*canonical\b')
+                       OR regexp_matches(tag, '(?i)\shttp-equiv\s*=\s*["'']?\s*refresh\b')),
+pairs AS (SELECT url, CASE WHEN regexp_matches(link, '(?i)^https?://') THEN link
+                           WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link END AS target
+          FROM links),
+known AS (SELECT url FROM urls UNION SELECT target FROM pairs WHERE target IS NOT NULL),
+parts AS (SELECT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+                 regexp_extract(url, '(?s)^.*?://[^?#]*(\?[^#]*)', 1) AS query FROM known),
+ruled AS (SELECT *, CASE WHEN host <> '' THEN host || path || query END AS key FROM parts),
+rules(rule, host, path, verdict) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+                                            ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+page_rule AS (SELECT url, arg_max(rules.rule, length(rules.rule)) AS rule, arg_max(verdict, length(rules.rule)) AS verdict
+              FROM ruled JOIN rules ON (ruled.host = rules.host OR ends_with(ruled.host, '.' || rules.host))
+                                   AND starts_with(ruled.path, rules.path) GROUP BY url),
+node_rule AS (SELECT key, arg_max(verdict, length(rules.rule)) AS verdict
+              FROM ruled JOIN rules ON (ruled.host = rules.host OR ends_with(ruled.host, '.' || rules.host))
+                                   AND starts_with(ruled.path, rules.path) WHERE key IS NOT NULL GROUP BY key),
+edge AS (SELECT a.key AS u, b.key AS v FROM pairs JOIN ruled a USING (url) JOIN ruled b ON b.url = pairs.target
+         WHERE a.key <> b.key),
+both_ways AS (SELECT u, v FROM edge UNION SELECT v, u FROM edge),
+reach(a, b) AS (SELECT u, u FROM both_ways UNION SELECT reach.a, v FROM reach JOIN both_ways ON reach.b = u),
+class AS (SELECT a AS key, coalesce(bool_or(verdict = 'block'), false) AND NOT coalesce(bool_or(verdict = 'allow'), false) AS bad
+          FROM reach LEFT JOIN node_rule ON node_rule.key = reach.b GROUP BY a)
+SELECT page_id, coalesce(ruled.host, '') AS host, coalesce(ruled.path, '') AS path, page_rule.rule AS rule,
+       coalesce(page_rule.verdict, CASE WHEN class.bad THEN 'block' ELSE 'allow' END) AS verdict
+FROM raw LEFT JOIN ruled ON ruled.url = raw.url LEFT JOIN page_rule ON page_rule.url = raw.url
+         LEFT JOIN class ON class.key = ruled.key
+"""
+
+WARC_RECORDS = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT page_id, payload, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex,
+             max(page_id) OVER (PARTITION BY payload) AS original, count(*) OVER (PARTITION BY payload) AS n FROM p),
+d AS (SELECT *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + ((('0x' || substr(hex, 1 + 5 * (k // 4), 5))::INT >> (15 - 5 * (k % 4))::INT) & 31), 1)
+             for k in range(0, 32)], '') AS payload_digest
+      FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN n > 1 AND page_id IS DISTINCT FROM original AND original IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n > 1 AND page_id IS DISTINCT FROM original THEN original END AS refers_to
+FROM d
+"""

@@ -16,6 +16,8 @@ from .simhash import simhash_groups
 from .token_counts import token_counts
 from .token_files import ids_digest, token_files
 from .toxicity import toxicity
+from .url_alias import judge_urls
+from .warc import archives
 from .winnow import contamination
 
 
@@ -32,6 +34,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids_digest(token_files(table(spark, sf_dir, "documents")))
 
 
+def op4_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality(table(spark, sf_dir, "documents"))
 
@@ -52,18 +58,26 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
+    "op4_url_aliases": op4_url_aliases,
     "op5_host_quality": op5_host_quality,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
+    "op10_warc_revisits": op10_warc_revisits,
 }
 
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": oracles.CONTAMINATION,
+    "op4_url_aliases": oracles.URL_VERDICTS,
     "op5_host_quality": oracles.HOST_QUALITY,
+    "op10_warc_revisits": oracles.WARC_RECORDS,
 }

@@ -68,6 +68,8 @@ def other_runs(text: str, base: list, least: int) -> Iterator[tuple[int, int]]:
 
 def pair_counts(strings: list[str]) -> np.ndarray:
     """Counts of neighbouring characters, ends included."""
+    if not strings:
+        return np.zeros(STATES * STATES, np.int64)
     codes = CODES[np.frombuffer(("\n" + "\n".join(strings) + "\n").encode("latin-1", "replace"), np.uint8)].astype(np.int64)
     return np.bincount(codes[:-1] * STATES + codes[1:], minlength=STATES * STATES)
 
