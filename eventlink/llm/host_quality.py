@@ -90,7 +90,7 @@ def measured(docs: DataFrame, text: Column) -> DataFrame:
                  F.col("_m.w.n_words").alias("n_words"), F.col("_m.w.word_chars").alias("word_chars"),
                  F.col("_m.n_symbols").alias("n_symbols"), F.col("_m.n_dup_lines").alias("n_dup_lines"),
                  F.col("_m.w.n_repeat_words").alias("n_repeat_words"))
-    n, mean = F.col("n_words"), F.col("word_chars") / F.col("n_words")
+    n, mean = F.col("n_words"), F.try_divide("word_chars", "n_words")
     short = n < MIN_WORDS
     repeated = F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * n
     symbols = F.col("n_symbols") > F.lit(MAX_SYMBOLS_PER_WORD) * n
