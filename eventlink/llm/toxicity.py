@@ -6,7 +6,7 @@ that occur together, the product of their factor vectors, so that a pair can
 weigh more, or less, than its parts.  It is fitted on a bounded sample of
 labelled rows (``max_rows``, taken in the order of a hash of the id) from four
 of five folds; the terms are those of the sample that differ most between the
-classes (chi-square).  Scoring reads every whole text in parallel.
+classes (chi-square, up to ``TERMS`` of them).  Scoring reads every whole text in parallel.
 
 Defined cases: a null or empty text has no term and scores by the bias; rows
 with a null id are scored and not held out; a document with several labels
@@ -32,7 +32,8 @@ DIMS = 1 << 18
 MAX_ROWS = 10_000
 TERMS = 8192
 FACTORS = 8
-EPOCHS = 20
+MIN_CHI = 10.83  # a chance of one in a thousand
+EPOCHS = 30
 RATE = 0.1
 DECAY = 1e-4
 FOLDS = 5
@@ -90,7 +91,7 @@ def chosen(lists: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
         chi = np.nan_to_num((have[1] * n - total * n1) ** 2 * n / (total * (n - total) * n0 * n1))
     chi[total < 3] = 0
     best = np.argsort(-chi, kind="stable")[:most]
-    return best[chi[best] > 0]
+    return best[chi[best] > MIN_CHI]
 
 
 def fit(lists: list[np.ndarray], y: np.ndarray, most: int = TERMS, factors: int = FACTORS, epochs: int = EPOCHS) -> Machine:
