@@ -5,8 +5,10 @@ the word behind it, a cut is made only between two printable characters: no
 pre-token of these vocabularies crosses such a place, so the ids of the whole
 text are the ids of the pieces, one after the other.  Pieces next to any other
 white space, control or format character stay together and go to the library as
-they are.  The library encodes every piece that is not held; a worker holds
-pieces up to a bound, the recent ones longest.
+they are.  The library encodes every piece that is not held: a word of plain
+letters, which normalizer and pre-tokenizer leave in one part, by its model
+alone, all else by the whole of it.  A worker holds pieces up to a bound, the
+recent ones longest.
 """
 
 from __future__ import annotations
@@ -17,13 +19,16 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-HELD = 150_000
+HELD = 300_000
 #: Letters that every Unicode version counts as such, and marks that form one
 #: pre-token between letters.
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
 PLAIN = re.compile(rf"([{LETTERS}]+)([{MARKS}]*)(?:(\n)([{LETTERS}]+)([{MARKS}]*))?")
 
+LETTERS_ONLY = re.compile(rf"[{LETTERS}]+")
+
 
 class Unsure(Exception):
     """A piece whose edges are no safe place to cut."""
@@ -62,8 +67,12 @@ class Pieces:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.glued, self.counts = glued, counts
+        self.glued, self.counts, self.model = glued, counts, self.library.model
         self.none = 0 if counts else b""
+        # how the model spells each letter's bytes, and the space before a word
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {c: spell(chr(c))[0][0] for c in range(192, 256)}
+        self.space = spell(" ")[0][0] if glued else ""
         self.spaced = Held(self._spaced, fixed=fixed)
         self.bare = Held(self._bare)
 
@@ -76,15 +85,27 @@ class Pieces:
         if self.glued and not sure(piece):
             raise Unsure
         m = PLAIN.fullmatch(piece)
-        if not m or not m[2] and not m[3]:
+        if not m:
             return self.encoded(" " + piece if self.glued else piece)
+        if not m[2] and not m[3]:
+            return self._word(piece, self.space)
         value = self.spaced[m[1]] + (self.bare[m[2]] if m[2] else self.none)
         if m[3]:
             value += self.bare["\n"] + self.bare[m[4]] + (self.bare[m[5]] if m[5] else self.none)
         return value
 
     def _bare(self, piece: str):
-        return self.encoded(piece)
+        """A piece that nothing is glued to."""
+        return self._word(piece, "") if LETTERS_ONLY.fullmatch(piece) else self.encoded(piece)
+
+    def _word(self, word: str, before: str):
+        """Plain letters, by the model."""
+        if not self.glued:
+            word = word.lower()
+        if not word.isascii():
+            word = word.translate(self.spelled)
+        ids = [t.id for t in self.model.tokenize(before + word)]
+        return len(ids) if self.counts else array("I", ids).tobytes()
 
     def _joined(self, values):
         return sum(values) if self.counts else b"".join(values)
