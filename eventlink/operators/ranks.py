@@ -11,8 +11,9 @@ folder), so the ids are fixed even if a task is re-run after executor loss.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -61,9 +62,34 @@ def numbered_rows(df: DataFrame, order: Sequence[str], name: str = "_pos", desce
             .select(*df.columns, pos.cast("bigint").alias(name)))
 
 
+def positioned(df: DataFrame, order: Sequence[str], following: Sequence[str], name: str = "_pos",
+               next: str = "_next") -> DataFrame:
+    """Every row of ``df`` with its 1-based position in ``order`` (unique), the
+    struct ``next`` of the ``following`` columns of the row behind it, and its
+    range partition ``_p``.
+
+    One range shuffle and one write.  The next row is a ``lead`` inside the
+    range partition; only a partition's last row takes it from the first row of
+    the partition behind, out of a table with one row per partition."""
+    k = _staged_in_order(df, order, False, f"rows-{name}")
+    row = F.struct(*following)
+    wp = Window.orderBy("_p")  # one row per partition
+    parts = k.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min_by(row, "_m").alias("_head"))
+    parts = parts.select("_p", F.lead("_head").over(wp).alias("_head"), F.coalesce(
+        F.sum("_n").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    k = k.withColumn(next, F.lead(row).over(Window.partitionBy("_p").orderBy("_m")))
+    pos = F.col("_off") + F.col("_m") - F.shiftleft(F.col("_p"), _LOCAL_BITS) + 1
+    return k.join(F.broadcast(parts), "_p").select(
+        *df.columns, pos.cast("bigint").alias(name), F.coalesce(next, "_head").alias(next), "_p")
+
+
 def surrogate_id(df: DataFrame, keys: Sequence[str], name: str = "rowid", persist: bool = True) -> DataFrame:
-    """``dense_rank() over (order by keys)`` attached to every row."""
-    return df.join(numbered_keys(df, keys, name, persist=persist), list(keys))
+    """``dense_rank() over (order by keys)`` attached to every row (W9).  Null
+    keys take part and are ranked first, as in the window."""
+    ids = numbered_keys(df, keys, name, persist=persist)
+    own = df.columns
+    same = [df[k].eqNullSafe(ids[k]) for k in keys]
+    return df.join(ids, reduce(lambda a, b: a & b, same)).select(*[df[c] for c in own], ids[name])
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -75,71 +101,68 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_sc", sc).select("*", *[F.col("_sc")[c].alias(c) for c in cols]).drop("_sc")
 
 
+def _staged_in_order(df: DataFrame, order: Sequence[str], descending: bool, name: str) -> DataFrame:
+    """Rows range partitioned and sorted by ``order``, written once, with their
+    partition ``_p`` and their place in it ``_m``."""
+    cols = [F.col(k).desc() if descending else F.col(k).asc() for k in order]
+    k = df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_m", F.monotonically_increasing_id())
+    return materialize(k, name).withColumn("_p", F.shiftright("_m", _LOCAL_BITS))
+
+
 def global_cumsum(df: DataFrame, order: Sequence[str], values: Sequence[str], descending: bool = False,
                   suffix: str = "_cum") -> DataFrame:
     """Running sums of ``values`` in the global order of ``order`` (unique
     keys), used by the ROC / precision-recall evaluation on distinct scores.
 
-    Rows get their global position (:func:`numbered_keys`), are cut into
-    ``shuffle.partitions`` blocks of consecutive positions, summed cumulatively
-    inside each block (a window partitioned by block), and shifted by the
-    running total of the preceding blocks (a table with one row per block)."""
-    num = numbered_keys(df, order, "_pos", descending=descending)
-    d = df.join(num, list(order))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Blocks of consecutive positions: cumulative sums inside a block, block
-    # offsets from a table with one row per block.
-    total = d.agg(F.max("_pos").alias("_max"))
-    d = attach_scalars(d, total).withColumn(
-        "_blk", F.floor((F.col("_pos") - 1) * n / F.greatest(F.col("_max"), F.lit(1))).cast("bigint"))
-    w = Window.partitionBy("_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = d.select("*", *[F.sum(v).over(w).alias(f"_loc_{v}") for v in values])
-    blk = d.groupBy("_blk").agg(*[F.sum(v).alias(f"_bt_{v}") for v in values])
-    wb = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blk = blk.select("_blk", *[F.coalesce(F.sum(f"_bt_{v}").over(wb), F.lit(0)).alias(f"_bo_{v}") for v in values])
-    out = local.join(F.broadcast(blk), "_blk")
-    out = out.select(*df.columns, "_pos", *[(F.col(f"_loc_{v}") + F.col(f"_bo_{v}")).alias(f"{v}{suffix}")
-                                             for v in values])
-    return out
+    One range shuffle and one write: the sums run inside the sorted range
+    partitions and are shifted by the totals of the preceding partitions (a
+    table with one row per partition)."""
+    k = _staged_in_order(df, order, descending, "cumsum")
+    w = Window.partitionBy("_p").orderBy("_m").rowsBetween(Window.unboundedPreceding, 0)
+    local = k.select("*", *[F.sum(v).over(w).alias(f"_loc_{v}") for v in values])
+    # One row per partition: this window's single task holds `partitions` rows.
+    wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    total = k.groupBy("_p").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    total = total.select("_p", *[F.coalesce(F.sum(f"_t_{v}").over(wp), F.lit(0)).alias(f"_off_{v}") for v in values])
+    return local.join(F.broadcast(total), "_p").select(
+        *df.columns, *[(F.col(f"_loc_{v}") + F.col(f"_off_{v}")).alias(f"{v}{suffix}") for v in values])
 
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float],
-                    tie: str | None = None) -> DataFrame:
+                    weight: str | None = None) -> DataFrame:
     """Exact per-group quantiles (linear interpolation, as ``percentile`` /
     ``quantile_cont``) without holding a group's values in one task.
 
-    Rows are numbered in (groups, value) order by :func:`numbered_keys` (range
-    partitioned, so a group holding a third of all rows spans many tasks); a
-    group's start position and size come from one small aggregate; the two
-    order statistics around each target rank are fetched by equi-join.
-    ``tie`` names a unique row id (added from a hash-free monotonically
-    increasing id when absent) so duplicate values keep their multiplicity.
-    """
-    base = df.select(*groups, F.col(value).cast("double").alias("_v"), *( [tie] if tie else []))
-    base = base.filter(F.col("_v").isNotNull())
-    if tie is None:
-        base = base.withColumn("_tie", F.monotonically_increasing_id())
-        tie = "_tie"
-    pos = numbered_rows(base, [*groups, "_v", tie], "_pos")
-    g = pos.groupBy(*groups).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    # Target ranks of every probability: one small table (groups x probs).
-    t = g.select(*groups, "_start", "_n", F.explode(F.array(*[
-        F.struct(F.lit(name).alias("q"), F.lit(float(p)).alias("p")) for name, p in probs.items()])).alias("_t"))
-    t = t.select(*groups, "_n", F.col("_t.q").alias("q"), ((F.col("_n") - 1) * F.col("_t.p")).alias("_h"),
-                 (F.col("_start") + F.floor((F.col("_n") - 1) * F.col("_t.p"))).cast("bigint").alias("_lo"),
-                 (F.col("_start") + F.ceil((F.col("_n") - 1) * F.col("_t.p"))).cast("bigint").alias("_hi"))
-    # One pass over the numbered rows: each target's two global positions are
-    # joined to the rows once (positions are unique: a plain equi-join against
-    # a table of at most groups x probs x 2 rows).
-    e = t.select(*groups, "_n", "q", "_h", F.explode(F.array(
-        F.struct(F.lit(0).alias("w"), F.col("_lo").alias("_pos")),
-        F.struct(F.lit(1).alias("w"), F.col("_hi").alias("_pos")))).alias("_e"))
-    e = e.select(*groups, "_n", "q", "_h", F.col("_e.w").alias("_w"), F.col("_e._pos").alias("_pos"))
-    j = e.join(pos.select("_pos", "_v"), "_pos")
-    q = (j.groupBy(*groups, "_n", "q", "_h")
-         .agg(F.max(F.when(F.col("_w") == 0, F.col("_v"))).alias("_vlo"),
-              F.max(F.when(F.col("_w") == 1, F.col("_v"))).alias("_vhi"))
-         .select(*groups, "_n", "q",
-                 (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("_x")))
-    out = q.groupBy(*groups, "_n").pivot("q", list(probs)).agg(F.first("_x"))
-    return out.drop("_start").withColumnRenamed("_n", "n")
+    Values are counted per (group, value) first, so repeats never travel; the
+    counts are cumulated in (group, value) order (:func:`global_cumsum`, a group
+    holding a third of all rows spans many tasks), and the two order statistics
+    around each target rank are conditional maxima, aggregated map-side.
+    Values that are not numbers are ignored, as nulls are.  ``weight``: a column
+    with the number of times that a row counts."""
+    times = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    keyed = [F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]
+    names = [f"_g{i}" for i in range(len(groups))]
+    base = df.select(*keyed, F.col(value).try_cast("double").alias("_v"), times.alias("_w"))
+    counts = base.filter(F.col("_v").isNotNull() & (F.col("_w") > 0)).groupBy(*names, "_v").agg(F.sum("_w").alias("_c"))
+    cum = global_cumsum(counts, [*names, "_v"], ["_c"])
+    per = cum.groupBy(*[F.col(n).alias(f"{n}_of") for n in names]).agg(
+        F.min(F.col("_c_cum") - F.col("_c")).alias("_start"), F.sum("_c").alias("_n"))
+    if names:
+        same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}_of")) for n in names])
+        rows = cum.join(per, same)
+    else:
+        rows = attach_scalars(cum, per)
+
+    def at(rank: Column) -> Column:  # the value at a 0-based rank of the group
+        place = F.col("_start") + rank
+        return F.max(F.when((place >= F.col("_c_cum") - F.col("_c")) & (place < F.col("_c_cum")), F.col("_v")))
+
+    found = []
+    for i, p in enumerate(probs.values()):
+        target = (F.col("_n") - 1) * F.lit(float(p))
+        found += [at(F.floor(target)).alias(f"_lo{i}"), at(F.ceil(target)).alias(f"_hi{i}")]
+    q = rows.groupBy(*names, "_n").agg(*found)
+    part = [(F.col("_n") - 1) * F.lit(float(p)) - F.floor((F.col("_n") - 1) * F.lit(float(p))) for p in probs.values()]
+    return q.select(*[F.col(n).alias(g) for n, g in zip(names, groups)], F.col("_n").alias("n"),
+                    *[(F.col(f"_lo{i}") + part[i] * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name)
+                      for i, name in enumerate(probs)])

@@ -49,3 +49,18 @@ def test_exact_quantiles_hot_group_spans_partitions(spark):
     assert abs(q["hot"].m - np.quantile(hot, 0.5)) < 1e-12 and abs(q["hot"].q9 - np.quantile(hot, 0.9)) < 1e-12
     for g, arr in cold.items():
         assert abs(q[g].m - np.quantile(arr, 0.5)) < 1e-12
+
+
+def test_surrogate_id_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (2, None), (2, 5), (None, 1)], "patid long, encounterid long")
+    got = sorted((r.rowid, r.patid, r.encounterid) for r in ranks.surrogate_id(df, ["patid", "encounterid"]).collect())
+    assert got == [(1, None, 1), (1, None, 1), (2, 2, None), (3, 2, 5)]
+
+
+def test_weighted_quantiles_are_those_of_repeated_values(spark):
+    data = [("a", "3", 2), ("a", "1", 5), ("a", "10", 1), ("a", "x", 9), (None, "4", 3), (None, "8", 3)]
+    df = spark.createDataFrame(data, "g string, v string, w long")
+    got = {r.g: (r.n, r.m, r.q9) for r in ranks.exact_quantiles(df, ["g"], "v", {"m": 0.5, "q9": 0.9}, weight="w").collect()}
+    for g in ("a", None):
+        arr = np.repeat([float(v) for k, v, _ in data if k == g and v != "x"], [w for k, v, w in data if k == g and v != "x"])
+        assert got[g] == (len(arr), np.quantile(arr, 0.5), np.quantile(arr, 0.9))
