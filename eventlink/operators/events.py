@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_years, days_between, least_strict, stay_length
-from .ranks import numbered_rows
+from .ranks import numbered_rows, positioned
 
 
 # Admission encounter types, and discharge statuses / dispositions
@@ -37,15 +37,17 @@ def coverage_span(sources: Sequence[DataFrame], id: str = "patid", start: str =
     """Per-person coverage span over several sources (C1: A1 A2 P3).
 
     Each source has ``(id, start, end)``.  Rows whose ``end`` falls outside the
-    administrative window ``[lo, hi]`` are dropped first (pushed into each
-    scan), then one ``groupBy`` takes min(start)/max(end): Spark computes the
+    administrative window ``[lo, hi]`` (either bound may be left out) are
+    dropped first (pushed into each scan), then one ``groupBy`` takes min(start)/max(end): Spark computes the
     per-source partial aggregates map-side before the single shuffle.
     """
     parts = []
     for s in sources:
         d = s.select(F.col(id), F.col(start).cast("date").alias("_s"), F.col(end).cast("date").alias("_e"))
-        if lo is not None or hi is not None:
-            d = d.filter(F.col("_e").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+        if lo is not None:
+            d = d.filter(F.col("_e") >= F.lit(lo).cast("date"))
+        if hi is not None:
+            d = d.filter(F.col("_e") <= F.lit(hi).cast("date"))
         parts.append(d)
     return (union_all(parts).groupBy(id)
             .agg(F.min("_s").alias(out_start), F.max("_e").alias(out_end)))
@@ -123,38 +125,37 @@ def link_next_event(events: DataFrame, id: str = "patid", event: str = "encounte
     (H4): the successor keeps its link and no gap is recomputed.
 
     ``skew_safe=True`` avoids the person-keyed window, whose hash partitioning
-    puts all events of one person into one task: rows are numbered globally in
-    (person, start, event) order by range partitioning (a hot person spans many
-    partitions) and each row is joined to position + 1 -- an equi-join on a
-    unique key, balanced whatever the key distribution.  ``(person, start,
-    event)`` must be unique.
+    puts all events of one person into one task: rows are range partitioned in
+    (person, start, event) order, so a hot person spans many partitions, and
+    linked inside them (:func:`ranks.positioned`).  ``(person, start, event)``
+    must be unique.
     """
     lead_cols = [event, start, *carry]
-    nxt = F.struct(*[F.col(c) for c in lead_cols])
     if skew_safe:
-        e = with_positions(events, id, start, event)
-        n = e.select((F.col("_pos") - 1).alias("_pos"), F.col(id).alias("_nid"), nxt.alias("_nxt"))
-        out = (e.join(n, "_pos", "left")
-               .withColumn("_nxt", F.when(F.col("_nid") == F.col(id), F.col("_nxt"))).drop("_nid", "_pos"))
+        out = positioned(events, [id, start, event], [id, *lead_cols])
+        out = out.withColumn("_nxt", F.when(F.col("_next")[id] == F.col(id), F.col("_next"))).drop("_next", "_pos", "_p")
     else:
         w = Window.partitionBy(id).orderBy(F.col(start), F.col(event))
-        out = events.withColumn("_nxt", F.lead(nxt).over(w))
-    out = out.select("*", *[F.col("_nxt")[c].alias(f"{c}_lead") for c in lead_cols]).drop("_nxt")
+        out = events.withColumn("_nxt", F.lead(F.struct(*lead_cols)).over(w))
+    out = _gaps(out, lead_cols, start, end, censor, death)
+    return out.filter(_has_gap()) if drop_nonpositive_gap else out
+
+
+def _gaps(linked: DataFrame, lead_cols: Sequence[str], start: str, end: str, censor: str | None,
+          death: str | None) -> DataFrame:
+    """The struct ``_nxt`` of the next event as columns, and the day differences."""
+    out = linked.select("*", *[F.col("_nxt")[c].alias(f"{c}_lead") for c in lead_cols]).drop("_nxt")
     out = (out.withColumn("los", stay_length(start, end))
            .withColumn("days_to_next", days_between(end, f"{start}_lead")))
     if censor:
         out = out.withColumn("days_to_censor", days_between(end, censor))
     if death:
         out = out.withColumn("days_to_death", days_between(end, death))
-    if drop_nonpositive_gap:
-        out = out.filter((F.col("days_to_next") > 0) | F.col("days_to_next").isNull())
     return out
 
 
-def with_positions(events: DataFrame, id: str, start: str, event: str, name: str = "_pos") -> DataFrame:
-    """Attach each row's global 1-based position in (id, start, event) order
-    (range partitioned and written once, so positions are fixed)."""
-    return numbered_rows(events, [id, start, event], name)
+def _has_gap() -> Column:
+    return (F.col("days_to_next") > 0) | F.col("days_to_next").isNull()
 
 
 def lookback_count(events: DataFrame, id: str = "patid", day: str = "admit_date", months: int = 12,
@@ -200,7 +201,7 @@ def sequence_index(events: DataFrame, id: str = "patid", event: str = "encounter
     global position minus the person's first position (a per-person ``min``,
     aggregated map-side) instead of a person-keyed window."""
     if skew_safe:
-        e = with_positions(events, id, start, event)
+        e = numbered_rows(events, [id, start, event])
         first = e.groupBy(id).agg(F.min("_pos").alias("_first"))
         return (e.join(first, id).withColumn(out, (F.col("_pos") - F.col("_first") + 1).cast("bigint"))
                 .select(*events.columns, out))
@@ -280,7 +281,25 @@ def merge_sources_relink(sources: Mapping[str, DataFrame], id: str = "patid", ev
     and position (C22: U4 C3 W7 W8)."""
     tagged = [df.withColumn(src, F.lit(name)) for name, df in sources.items()]
     merged = union_all(tagged, allow_missing=True)
-    stats = running_stats(merged, id, event, start, skew_safe=skew_safe)
-    linked = link_next_event(stats, id, event, start, end, carry=[*carry, src], censor=censor, death=death,
-                             skew_safe=skew_safe)
-    return sequence_index(linked, id, event, start, skew_safe=skew_safe)
+    if not skew_safe:
+        stats = running_stats(merged, id, event, start)
+        linked = link_next_event(stats, id, event, start, end, carry=[*carry, src], censor=censor, death=death)
+        return sequence_index(linked, id, event, start)
+    # One numbering gives the link, the running count and, by the running number
+    # of the rows that are kept, the position among them.
+    lead_cols = [event, start, *carry, src]
+    rows = positioned(merged, [id, start, event], [id, *lead_cols])
+    rows = rows.withColumn("_nxt", F.when(F.col("_next")[id] == F.col(id), F.col("_next"))).drop("_next")
+    rows = _gaps(rows, lead_cols, start, end, censor, death).withColumn("_kept", _has_gap().cast("bigint"))
+    inside = Window.partitionBy("_p").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    parts = rows.groupBy("_p").agg(F.sum("_kept").alias("_k")).select(
+        "_p", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_koff"))
+    rows = rows.withColumn("_kcum", F.sum("_kept").over(inside)).join(F.broadcast(parts), "_p")
+    rows = rows.withColumn("_kcum", F.col("_kcum") + F.col("_koff"))
+    per = rows.groupBy(id).agg(F.min("_pos").alias("_first"), F.min(F.col("_kcum") - F.col("_kept")).alias("_kfirst"),
+                               F.countDistinct(start).alias("n_days_total"))
+    out = rows.filter("_kept = 1").join(per, id)
+    return (out.withColumn("running_n", F.col("_pos") - F.col("_first") + 1)
+            .withColumn("seq", (F.col("_kcum") - F.col("_kfirst")).cast("bigint"))
+            .drop("_p", "_pos", "_kept", "_kcum", "_koff", "_first", "_kfirst"))

@@ -64,10 +64,8 @@ FROM (
 WHERE EXISTS (SELECT 1 FROM o_linked l WHERE l.patid = s.patid AND l.encounterid = s.encounterid)"""))
 def running_event_stats(spark, sf_dir):
     p = _pipe(spark, sf_dir)
-    stats = events.running_stats(p.admit, skew_safe=p.skew_safe)
-    linked = events.link_next_event(stats, carry=[], skew_safe=p.skew_safe)
-    return (events.sequence_index(linked, skew_safe=p.skew_safe)
-            .select("patid", "encounterid", "n_days_total", "running_n", "seq"))
+    rows = events.merge_sources_relink({"all": p.admit}, skew_safe=p.skew_safe)
+    return rows.select("patid", "encounterid", "n_days_total", "running_n", "seq")
 
 
 # -- step 2 -------------------------------------------------------------------
