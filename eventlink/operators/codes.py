@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import is_digits, pad_right, strip_dots
 from .events import union_all
+from .ranks import attach_scalars
 
 
 def _col(x: str | Column) -> Column:
@@ -38,8 +39,9 @@ def map_exact(facts: DataFrame, dictionary: DataFrame, fact_key: str | Column, d
     return f.withColumn("_k", _col(fact_key)).join(d, "_k").drop("_k")
 
 
-def _has_wildcard(c: Column) -> Column:
-    return c.contains("%") | c.contains("_") | c.contains("\\")
+def _literal_prefix(c: Column) -> Column:
+    """What a LIKE pattern starts with before its first wildcard or escape."""
+    return F.regexp_extract(c, r"^([^%_\\\\]*)", 1)
 
 
 def prefix_mapping(codes: DataFrame, dictionary: DataFrame, code: str, dict_code: str = "code",
@@ -47,41 +49,21 @@ def prefix_mapping(codes: DataFrame, dictionary: DataFrame, code: str, dict_code
     """Map distinct codes to dictionary rows whose code is a prefix of them
     (``code LIKE dict_code || '%'``).
 
-    Plain prefixes: every prefix of each distinct code is exploded
-    (``length(code)`` rows per distinct code, bounded by code length) and
-    equi-joined to the dictionary -- no nested loop.  Dictionary entries that
-    contain LIKE wildcards keep the literal LIKE test, on distinct codes only.
-    ``type_pairs`` = (code-side type column, dictionary-side type column) adds an
-    equality on the type.
+    Every prefix of each distinct code, the empty one included, is exploded
+    (``length(code) + 1`` rows per distinct code) and equi-joined to the literal
+    start of the dictionary entry; the LIKE itself is the residual, so entries
+    with wildcards take the same way.  No nested loop, and no join on the type
+    alone.  ``type_pairs`` = (code-side type column, dictionary-side type column)
+    adds an equality on the type.
     """
-    dcols = [F.col(dict_code).alias("_p"), *[F.col(c) for c in carry]]
-    if type_pairs is not None:
-        dcols.append(type_pairs[1].alias("_dt"))
-    d = dictionary.select(*dcols)
-    plain = d.filter(~_has_wildcard(F.col("_p")))
-    wild = d.filter(_has_wildcard(F.col("_p")))
-
-    ccols = [F.col(code).alias("_c")]
-    if type_pairs is not None:
-        ccols.append(type_pairs[0].alias("_ct"))
-    c = codes.select(*ccols).filter(F.col("_c").isNotNull()).distinct()
-    exploded = c.withColumn("_p", F.explode(F.expr("transform(sequence(1, length(_c)), n -> substring(_c, 1, n))")))
-    keys = ["_p"] + (["_dt"] if type_pairs is not None else [])
-    if type_pairs is not None:
-        exploded = exploded.withColumnRenamed("_ct", "_dt")
-        wild_c = c.withColumnRenamed("_ct", "_dt")
-    else:
-        wild_c = c
-    m_plain = exploded.join(plain, keys).select("_c", *(["_dt"] if type_pairs is not None else []), *carry)
-    # Wildcard entries: LIKE on (distinct codes x wildcard entries of the same type).
-    wcond = F.expr("_c LIKE concat(_w, '%')")
-    wj = wild.withColumnRenamed("_p", "_w")
-    if type_pairs is not None:
-        m_wild = wild_c.join(wj, "_dt").filter(wcond)
-    else:
-        m_wild = wild_c.join(F.broadcast(wj), wcond)
-    m_wild = m_wild.select("_c", *(["_dt"] if type_pairs is not None else []), *carry)
-    return m_plain.unionByName(m_wild)
+    typed = type_pairs is not None
+    d = dictionary.select(F.col(dict_code).alias("_w"), _literal_prefix(F.col(dict_code)).alias("_p"),
+                          *([type_pairs[1].alias("_dt")] if typed else []), *carry)
+    c = codes.select(F.col(code).alias("_c"), *([type_pairs[0].alias("_dt")] if typed else []))
+    c = c.filter(F.col("_c").isNotNull()).distinct()
+    c = c.withColumn("_p", F.explode(F.expr("transform(sequence(0, length(_c)), n -> substring(_c, 1, n))")))
+    j = c.join(d, ["_p", "_dt"] if typed else ["_p"]).filter(F.expr("_c LIKE concat(_w, '%')"))
+    return j.select("_c", *(["_dt"] if typed else []), *carry)
 
 
 def map_prefix(facts: DataFrame, dictionary: DataFrame, code: str, dict_code: str = "code",
@@ -99,33 +81,27 @@ def map_prefix(facts: DataFrame, dictionary: DataFrame, code: str, dict_code: st
 
 
 def map_range(facts: DataFrame, ranges: DataFrame, code: str, lb: str = "lb", ub: str = "ub",
-              carry: Sequence[str] = ("grp",), fact_filter: Column | None = None,
-              bucket_width: int | str = 1000) -> DataFrame:
+              carry: Sequence[str] = ("grp",), fact_filter: Column | None = None) -> DataFrame:
     """Numeric range join ``num(code) BETWEEN num(lb) AND num(ub)``, with the
     code and the lower bound guarded to be all digits (J10).
 
-    Distinct numeric codes are bucketed by ``floor(v / bucket_width)``; each
-    range is exploded over the buckets it covers (``(ub-lb)/width + 1`` rows,
-    never per value), joined on the bucket, and the exact BETWEEN is the
-    residual.  Exact for any bounds.  ``bucket_width="auto"`` uses the
-    median span of the ranges (at least 1), attached as a scalar subquery of
-    the range dictionary, so a typical range covers one or two buckets.
+    A range gets buckets as wide as the power of two above its span, so it lies
+    in two of them at most however wide it is.  Distinct numeric codes look up
+    their bucket once for every width that the dictionary has (some tens), and
+    the exact BETWEEN is the residual.  Exact for any bounds.
     """
     f = facts if fact_filter is None else facts.filter(fact_filter)
     f = f.filter(is_digits(code))
     r = (ranges.filter(is_digits(lb))
          .select(F.col(lb).try_cast("double").alias("_lo"), F.col(ub).try_cast("double").alias("_hi"), *carry)
          .filter(F.col("_hi").isNotNull() & (F.col("_hi") >= F.col("_lo"))))
-    if bucket_width == "auto":
-        width = r.select(F.greatest(F.lit(1.0), F.ceil(F.median(F.col("_hi") - F.col("_lo")))).cast("double")
-                         ).scalar()
-    else:
-        width = F.lit(float(bucket_width))
-    codes = (f.select(F.col(code).alias("_c")).distinct()
-             .withColumn("_v", F.col("_c").cast("double"))
-             .withColumn("_b", F.floor(F.col("_v") / width)))
-    r = r.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width))))
-    m = (codes.join(r, "_b").filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    r = r.withColumn("_w", F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_hi") - F.col("_lo") + 1))))
+    widths = r.agg(F.collect_set("_w").alias("_ws"))
+    codes = attach_scalars(f.select(F.col(code).alias("_c")).distinct().withColumn("_v", F.col("_c").cast("double")), widths)
+    codes = codes.withColumn("_w", F.explode("_ws")).withColumn("_b", F.floor(F.col("_v") / F.col("_w"))).drop("_ws")
+    r = r.withColumn("_b", F.explode(F.array_distinct(F.array(F.floor(F.col("_lo") / F.col("_w")),
+                                                              F.floor(F.col("_hi") / F.col("_w"))))))
+    m = (codes.join(r, ["_w", "_b"]).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
          .select(F.col("_c").alias(code), *carry))
     return f.join(m, code)
 
@@ -151,7 +127,7 @@ def map_keyed(facts: DataFrame, arms: Sequence[tuple[str, Column, DataFrame]], t
 
 def map_codes(facts: DataFrame, dictionary: DataFrame, how: str, fact_key: str, dict_key: str = "code",
               carry: Sequence[str] = ("grp",), fact_type: str | None = None, dict_type: Column | None = None,
-              transform=None, ub: str = "ub", bucket_width: int = 1000) -> DataFrame:
+              transform=None, ub: str = "ub") -> DataFrame:
     """One entry point for the three mapping kinds (J8-J12):
     ``how='exact'`` (optionally on ``transform(fact_key)``), ``'prefix'``
     (dictionary code is a prefix of the fact code) or ``'range'``
@@ -167,7 +143,7 @@ def map_codes(facts: DataFrame, dictionary: DataFrame, how: str, fact_key: str,
     if how == "prefix":
         return map_prefix(facts, dictionary, fact_key, dict_key, fact_type, dict_type, carry)
     if how == "range":
-        return map_range(facts, dictionary, fact_key, dict_key, ub, carry, bucket_width=bucket_width)
+        return map_range(facts, dictionary, fact_key, dict_key, ub, carry)
     raise ValueError(f"how must be exact, prefix or range; got {how!r}")
 
 
@@ -180,7 +156,7 @@ def group_dx(dx: DataFrame, dict10: DataFrame, dict9: DataFrame, code: str = "dx
 
 
 def px_mapping(codes: DataFrame, ranges: DataFrame, dict9: DataFrame, dict10: DataFrame, code: str = "px",
-               type_col: str = "px_type", out: str = "grp", bucket_width: int = 1000) -> DataFrame:
+               type_col: str = "px_type", out: str = "grp") -> DataFrame:
     """Distinct ``(type, code)`` -> group through the four alternative
     procedure mappings (C6, U2): numeric CPT range, single alphanumeric CPT
     code, ICD-9 (dots stripped), ICD-10 (exact)."""
@@ -188,15 +164,15 @@ def px_mapping(codes: DataFrame, ranges: DataFrame, dict9: DataFrame, dict10: Da
     exact = map_keyed(codes, [("CH", F.col(code), singles), ("09", strip_dots(code), dict9),
                               ("10", F.col(code), dict10)], type_col, out)
     rng = map_range(codes, ranges.withColumnRenamed("grp", out), code, carry=[out],
-                    fact_filter=F.col(type_col) == "CH", bucket_width=bucket_width)
+                    fact_filter=F.col(type_col) == "CH")
     return exact.select(type_col, code, out).unionByName(rng.select(type_col, code, out)).distinct()
 
 
 def group_px(px: DataFrame, ranges: DataFrame, dict9: DataFrame, dict10: DataFrame, code: str = "px",
-             type_col: str = "px_type", out: str = "grp", bucket_width: int = 1000) -> DataFrame:
+             type_col: str = "px_type", out: str = "grp") -> DataFrame:
     """Procedure facts -> groups: map the distinct codes (§4.3), join back once."""
     codes = px.select(type_col, code).filter(F.col(code).isNotNull()).distinct()
-    m = px_mapping(codes, ranges, dict9, dict10, code, type_col, out, bucket_width)
+    m = px_mapping(codes, ranges, dict9, dict10, code, type_col, out)
     return px.join(m, [type_col, code])
 
 

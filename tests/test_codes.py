@@ -27,9 +27,24 @@ def test_range_join_bounds_inclusive(spark):
                                    (7, "5000")], "id long, px string")
     ranges = spark.createDataFrame([("100", "149", "a"), ("120", "130", "b"), ("4000", "60000", "c"),
                                     ("x10", "x20", "z"), ("150", "1T", "bad")], "lb string, ub string, grp string")
-    for width in (7, "auto"):
-        out = codes.map_range(facts, ranges, "px", bucket_width=width)
-        assert rows(out, ["id", "grp"]) == [(1, "a"), (2, "a"), (5, "a"), (5, "b"), (7, "c")]
+    out = codes.map_range(facts, ranges, "px")
+    assert rows(out, ["id", "grp"]) == [(1, "a"), (2, "a"), (5, "a"), (5, "b"), (7, "c")]
+
+
+def test_range_join_of_a_wide_range(spark):
+    """A range is in two buckets at most, however wide it is."""
+    facts = spark.createDataFrame([(1, "0"), (2, "999999999999"), (3, "1000000000001")], "id long, px string")
+    ranges = spark.createDataFrame([("0", "1000000000000", "wide"), ("0", "0", "one")], "lb string, ub string, grp string")
+    assert rows(codes.map_range(facts, ranges, "px"), ["id", "grp"]) == [(1, "one"), (1, "wide"), (2, "wide")]
+
+
+def test_prefix_of_empty_codes_is_like(spark):
+    words = ["", "a", "ab", "a%", "b_c", "bxc1"]
+    facts = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id long, code string")
+    d = spark.createDataFrame([(w, f"g{w}") for w in ["", "a", "a%", "%c", "b_c", "_"]], "code string, grp string")
+    fast = codes.map_prefix(facts, d, "code")
+    literal = facts.alias("f").join(d.alias("d"), F.expr("f.code LIKE concat(d.code, '%')")).select("f.id", "f.code", "d.grp")
+    assert rows(fast, ["id", "code", "grp"]) == rows(literal)
 
 
 def test_group_px_arms(spark):
