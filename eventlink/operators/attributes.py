@@ -24,7 +24,8 @@ Selection = Mapping[str, str]  # column name -> type ('C' categorical / 'N' nume
 
 
 def _like_to_glob(pattern: str) -> str:
-    return pattern.replace("%", "*").replace("_", "?")
+    """A LIKE pattern as a glob; ``[`` and other glob signs stand for themselves."""
+    return "".join({"%": "*", "_": "?", "*": "[*]", "?": "[?]", "[": "[[]"}.get(c, c) for c in pattern)
 
 
 def column_plan(tables: Mapping[str, DataFrame], selection: Selection, key_cols: Sequence[str] = (),
@@ -46,12 +47,22 @@ def column_plan(tables: Mapping[str, DataFrame], selection: Selection, key_cols:
     return plan
 
 
-def _unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str], type_: str, src: str) -> DataFrame:
-    """One unpivot of ``cols`` (cast to text, NULLs dropped, names upper-cased: H13)."""
-    w = df.select(*ids, *[F.col(c).cast("string").alias(c.upper()) for c in cols])
-    long = w.unpivot(list(ids), [c.upper() for c in cols], "var", "val")
-    return (long.filter(F.col("val").isNotNull())
-            .withColumn("type", F.lit(type_)).withColumn("src", F.lit(src)))
+def _unpivot(df: DataFrame, ids: Sequence[str], types: Mapping[str, str], src: str) -> DataFrame:
+    """One unpivot of the columns of ``types`` (cast to text, NULLs dropped, names
+    upper-cased: H13), each with its type."""
+    w = df.select(*ids, *[F.col(c).cast("string").alias(c.upper()) for c in types])
+    long = w.unpivot(list(ids), [c.upper() for c in types], "var", "val").filter(F.col("val").isNotNull())
+    numeric = [c.upper() for c, t in types.items() if t == "N"]
+    return (long.withColumn("type", F.when(F.col("var").isin(numeric), F.lit("N")).otherwise(F.lit("C")))
+            .withColumn("src", F.lit(src)))
+
+
+def _by_table(plan: Sequence[tuple[str, str, list[str]]]) -> dict[str, dict[str, str]]:
+    """Column plan as table -> column -> type."""
+    tables: dict[str, dict[str, str]] = {}
+    for name, type_, cols in plan:
+        tables.setdefault(name, {}).update({c: type_ for c in cols})
+    return tables
 
 
 def _dry_run_frame(spark: SparkSession, plan: list[tuple[str, str, list[str]]]) -> DataFrame:
@@ -80,9 +91,9 @@ def attach_area(people: DataFrame, tables: Mapping[str, DataFrame], selection: S
              f"transform(sequence({int(min_len)}, length(`{geo_key}`)), n -> substring(`{geo_key}`, 1, n))")))
          .drop(geo_key))
     arms = []
-    for tname, type_, cols in plan:
-        t = tables[tname].filter(F.length(geocode) >= min_len).select(geocode, *cols)
-        arms.append(_unpivot(p.join(t, geocode), [id, geocode], cols, type_, tname))
+    for tname, types in _by_table(plan).items():
+        t = tables[tname].filter(F.length(geocode) >= min_len).select(geocode, *types)
+        arms.append(_unpivot(p.join(t, geocode), [id, geocode], types, tname))
     return union_all(arms)
 
 
@@ -95,9 +106,9 @@ def attach_person(people: DataFrame, tables: Mapping[str, DataFrame], selection:
     if dry_run:
         return _dry_run_frame(people.sparkSession, plan)
     arms = []
-    for tname, type_, cols in plan:
-        j = people.select(id, key).join(tables[tname].select(key, *cols), key)
-        arms.append(_unpivot(j, [id], cols, type_, src or tname))
+    for tname, types in _by_table(plan).items():
+        j = people.select(id, key).join(tables[tname].select(key, *types), key)
+        arms.append(_unpivot(j, [id], types, src or tname))
     return union_all(arms)
 
 
@@ -224,10 +235,10 @@ def catalog_from_data(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], lab
         if any(fnmatch.fnmatchcase(name.upper(), g) for g in globs):
             continue
         cols = [c for c in df.columns if c not in keys]
-        arms.append(_unpivot(df, list(keys), cols, "C", name).select(F.col("src").alias("var_domain"), "var")
+        arms.append(_unpivot(df, list(keys), dict.fromkeys(cols, "C"), name).select(F.col("src").alias("var_domain"), "var")
                     .distinct())
     cat = union_all(arms)
     if labels is None:
         return cat.withColumn("var_label", F.col("var"))
-    lab = labels.select(F.upper("var").alias("var"), "var_label").dropDuplicates(["var"])
+    lab = labels.groupBy(F.upper("var").alias("var")).agg(F.min("var_label").alias("var_label"))
     return cat.join(lab, "var", "left").withColumn("var_label", F.coalesce("var_label", "var"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_years, clip_bucket, is_digits, recode_any, recode_first
@@ -24,14 +24,14 @@ def freq_regroup(df: DataFrame, col: str, min_share: float | None = 0.01, min_co
                  prefix: str = "DRG_", other: str = "DRG_OT") -> DataFrame:
     """Levels with at least ``min_count`` rows (or ``min_share`` of all rows)
     keep ``prefix||level``; rarer ones become ``other`` (A5).  Output
-    ``(col, freq, <col>_regrp)``: one row per level, small by construction.
-    The share threshold uses the grand total from a window over that small
-    level table, never over the rows."""
+    ``(col, freq, <col>_regrp)``: one row per level.  The share threshold uses
+    the number of rows as a scalar subquery."""
     lv = df.groupBy(col).agg(F.count(F.lit(1)).alias("freq"))
     if min_count is not None:
         thr = F.lit(min_count)
     else:
-        thr = F.sum("freq").over(Window.partitionBy()) * F.lit(min_share)
+        lv = attach_scalars(lv, df.agg(F.count(F.lit(1)).alias("_all")))
+        thr = F.col("_all") * F.lit(min_share)
     return lv.select(col, "freq", F.when(F.col("freq") >= thr, F.concat(F.lit(prefix), F.col(col)))
                      .otherwise(F.lit(other)).alias(f"{col}_regrp"))
 
@@ -93,7 +93,8 @@ def obesity_onset(first_measure: DataFrame, dx: DataFrame, id: str = "patid",
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], categorical: Sequence[str], numeric: Sequence[str]) -> DataFrame:
     """Categoricals -> one-hot ``(VAR_val, 1)``; numerics -> ``(VAR, value)``,
-    NULLs dropped (R1 R2).  Variable names are upper-cased column names."""
+    NULLs dropped (R1 R2).  Variable names are upper-cased column names.  One row
+    per (row, variable) as long as ``ids`` name a row."""
     cat = (df.select(*ids, *[F.col(c).cast("string").alias(c.upper()) for c in categorical])
            .unpivot(list(ids), [c.upper() for c in categorical], "var", "_v")
            .filter(F.col("_v").isNotNull())
@@ -101,7 +102,7 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], categorical: Sequence[str],
     num = (df.select(*ids, *[F.col(c).cast("bigint").cast("double").alias(c.upper()) for c in numeric])
            .unpivot(list(ids), [c.upper() for c in numeric], "var", "val")
            .filter(F.col("val").isNotNull()))
-    return cat.unionByName(num).distinct()
+    return cat.unionByName(num)
 
 
 def typed_long(df: DataFrame, ids: Sequence[str], categorical: Sequence[str], numeric: Sequence[str]) -> DataFrame:
@@ -113,45 +114,67 @@ def typed_long(df: DataFrame, ids: Sequence[str], categorical: Sequence[str], nu
     return cat.unionByName(num).filter(F.col("val").isNotNull())
 
 
-def variable_profile(orig: DataFrame, row: str = "rowid", var: str = "var", val: str = "val", type_: str = "type",
-                     label: str = "label", faithful: bool = False) -> DataFrame:
-    """Per variable: coverage ``rt = distinct rows / N``, label-weighted rate
-    ``crt = sum(label) / N`` and an imputation value (exact median of the
-    all-digit values of numeric variables; NULL for categoricals) (C16: A6 A7
-    J15 J17).  N is a one-row global aggregate attached by broadcast; the
-    median is exact and distributed (a variable may cover most rows).  The
-    imputation table is left-joined (H19); ``faithful=True`` keeps the inner
-    join, which drops numeric variables with no all-digit value."""
-    n = orig.agg(F.countDistinct(row).alias("_N"))
-    rt = (orig.groupBy(type_, var).agg(F.countDistinct(row).alias("_rows"), F.sum(label).alias("_lab")))
+def variable_profile(attrs: DataFrame, rows: DataFrame, key: str, row: str = "rowid", var: str = "var",
+                     val: str = "val", type_: str = "type", label: str = "label", faithful: bool = False) -> DataFrame:
+    """Per variable: coverage ``rt = rows that have it / rows that have any``,
+    label-weighted rate ``crt = sum(label) / rows that have any`` and an
+    imputation value (exact median of the all-digit values of numeric
+    variables; NULL for categoricals) (C16: A6 A7 J15 J17).
+
+    ``attrs``: (``key``, var, val, type), attribute rows of persons; ``rows``:
+    (``row``, ``key``, label), unique event rows.  The events are counted per
+    person first and the persons' attributes weighted with them, so rows x
+    variables are never formed.  The imputation table is left-joined (H19);
+    ``faithful=True`` keeps the inner join, which drops numeric variables with
+    no all-digit value."""
+    per = rows.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_rows"), F.sum(label).alias("_lab"))
+    a = attrs.select(F.col(key).alias("_k"), var, val, type_).distinct().join(per, "_k")
+    n = a.select("_k", "_rows").distinct().agg(F.sum("_rows").alias("_N"))
+    held = a.groupBy("_k", type_, var).agg(F.first("_rows").alias("_rows"), F.sum("_lab").alias("_lab"))
+    rt = held.groupBy(type_, var).agg(F.sum("_rows").alias("_rows"), F.sum("_lab").alias("_lab"))
     rt = attach_scalars(rt, n).select(
         type_, var, (F.col("_rows") / F.col("_N")).alias("rt"), (F.col("_lab") / F.col("_N")).alias("crt"))
-    imp_n = exact_quantiles(orig.filter((F.col(type_) == "N") & is_digits(val)), [var], val,
-                            {"imp_val": 0.5}).select(var, "imp_val")
-    imp_c = orig.filter(F.col(type_) == "C").select(var).distinct().withColumn("imp_val", F.lit(None).cast("double"))
-    imp = imp_n.unionByName(imp_c)
-    return rt.join(imp, var, "inner" if faithful else "left")
+    imp_n = exact_quantiles(a.filter((F.col(type_) == "N") & is_digits(val)), [var], val,
+                            {"imp_val": 0.5}, weight="_rows").select(var, "imp_val")
+    if not faithful:
+        return rt.join(imp_n, var, "left").select(type_, var, "rt", "crt", "imp_val")
+    known = imp_n.join(rt.select(var), var, "left_semi")
+    return rt.join(known, var, "left").filter((F.col(type_) == "C") | F.col("imp_val").isNotNull()).select(
+        type_, var, "rt", "crt", "imp_val")
+
+
+def attribute_features(attrs_num: DataFrame, base_rows: DataFrame, profile: DataFrame, keep: Column, person_key: str,
+                       attr_person: str = "patid", row_cols: Sequence[str] = ("rowid", "patid", "encounterid", "label"),
+                       impute: bool = False) -> DataFrame:
+    """The attribute features of the variables that the profile keeps, for every
+    event row of their person (C17: M10 M11 R7).
+
+    The kept variables (one row per variable) filter the persons' attribute
+    rows, which are made distinct per person and then joined to the event rows:
+    no cross product, and no distinct over the result.  An attribute value is
+    never NULL, so by default no value is imputed (H8); ``impute=True`` gives
+    every event row without a kept numeric variable its imputation value, one
+    row per event and variable as that form asks for."""
+    kept = profile.filter(keep).select(F.col("var").alias("var_orig"), "imp_val").distinct()
+    a = attrs_num.join(kept, "var_orig").select(F.col(attr_person).alias("_pk"), "var",
+                                                F.coalesce("val", "imp_val").alias("val"))
+    rows = base_rows.select(*row_cols, F.col(person_key).alias("_pk"))
+    found = rows.join(a.filter(F.col("val").isNotNull()).distinct(), "_pk").select(*row_cols, "var", "val")
+    if not impute:
+        return found
+    wanted = kept.filter(F.col("imp_val").isNotNull()).agg(
+        F.collect_set(F.struct(F.col("var_orig").alias("var"), F.col("imp_val").alias("val"))).alias("_all"))
+    every = attach_scalars(rows.drop("_pk"), wanted).select(*row_cols, F.explode("_all").alias("_x"))
+    every = every.select(*row_cols, "_x.var", "_x.val")
+    return found.unionByName(every.join(found.select(row_cols[0], "var"), [row_cols[0], "var"], "left_anti"))
 
 
-def feature_long(base_long: DataFrame, attrs_num: DataFrame, base_rows: DataFrame, profile: DataFrame,
-                 keep: Column, person_key: str, attr_person: str = "patid",
+def feature_long(base_long: DataFrame, *features: DataFrame,
                  row_cols: Sequence[str] = ("rowid", "patid", "encounterid", "label")) -> DataFrame:
-    """Base long features plus the attribute features of the variables the
-    profile keeps (C17: M10 M11 R7).
-
-    The reference forms rows x kept variables (a cross product) and joins the
-    attribute table back, which collapses it (H8).  Here the kept variables
-    (one row per variable, broadcast) filter the attribute rows, which are
-    joined to the event rows by person: no cross product at any point.  The
-    median imputation ``coalesce(val, imp_val)`` is kept; as in the reference
-    it cannot fire, because attribute values are never NULL.
-    """
-    kept = profile.filter(keep).select(F.col("var").alias("var_orig"), "imp_val").distinct()
-    a = attrs_num.join(F.broadcast(kept), "var_orig")
-    rows = base_rows.select(*row_cols, F.col(person_key).alias("_pk"))
-    feat = (rows.join(a.withColumnRenamed(attr_person, "_pk"), "_pk")
-            .select(*row_cols, "var", F.coalesce(F.col("val"), F.col("imp_val")).alias("val")))
-    return base_long.select(*row_cols, "var", "val").unionByName(feat.filter(F.col("val").isNotNull())).distinct()
+    """Base long features plus any :func:`attribute_features` (R7): each part has
+    a variable of a row once and no two parts share one, so they are put
+    together as they are."""
+    return union_all([x.select(*row_cols, "var", "val") for x in (base_long, *features)])
 
 
 def subgroup_flags(base: DataFrame, flags: DataFrame, flag_var: str = "DUAL_LIS_ELIG", id: str = "patid") -> DataFrame:
@@ -203,34 +226,37 @@ def leakage_check(split: DataFrame, group: str, side: str) -> DataFrame:
 
 # -- encoder, shadow, sparse rows (M4-M6, R9, U6) ----------------------------
 
+def _entries(dictionary: DataFrame) -> DataFrame:
+    """One entry per name; of several, the first by label and domain."""
+    return dictionary.groupBy(F.col("var").alias("key")).agg(
+        F.min(F.struct(F.col("var_label").isNull().alias("none"), "var_label", "var_domain")).alias("entry"))
+
+
 def variable_encoder(names: DataFrame, dictionary: DataFrame, strip_prefix: str = r"^(DRG_REGRP_DRG_)+",
                      retry_prefix: str = r"^(P_|H_)", domain_rules: Sequence[tuple[str, str]] = (),
                      default_type: str = "s_sdh", var: str = "var") -> DataFrame:
     """Distinct variable names -> ``V1..Vn`` ids, dictionary label and domain
-    (M4: W13 J22).  Lookup 1: name with ``strip_prefix`` removed; lookup 2 for
-    unlabelled names matching ``retry_prefix``: last ``_suffix`` removed; the
-    two are coalesced.  ``domain_rules`` = [(regex on domain, type)], first
-    match wins; no domain -> ``base``."""
-    d = dictionary.select(F.col("var").alias("_dv"), "var_label", "var_domain").dropDuplicates(["_dv"])
-    n = names.select(var).distinct().withColumn("var2", F.regexp_replace(var, strip_prefix, ""))
-    j1 = n.join(d, n["var2"] == d["_dv"], "left").drop("_dv")
-    j1 = j1.withColumn("var2y", F.when(F.col("var_label").isNull() & F.col(var).rlike(retry_prefix),
-                                       F.regexp_replace(var, r"_[^_]*$", "")).otherwise(F.col(var)))
-    d2 = d.select(F.col("_dv"), F.col("var_label").alias("_l2"), F.col("var_domain").alias("_d2"))
-    j2 = j1.join(d2, j1["var2y"] == d2["_dv"], "left").drop("_dv")
-    enc = j2.select(var, F.coalesce("var_label", "_l2").alias("var_label"),
-                    F.coalesce("var_domain", "_d2").alias("var_domain"),
-                    F.coalesce("var_label", "_l2", var).alias("var_lbl"))
-    t = None
-    for rx, typ in domain_rules:
-        c = F.col("var_domain").rlike(rx)
-        t = F.when(c, F.lit(typ)) if t is None else t.when(c, F.lit(typ))
-    nulld = F.col("var_domain").isNull()
-    t = F.when(nulld, F.lit("base")) if t is None else t.when(nulld, F.lit("base"))
-    enc = enc.withColumn("var_domain_type", t.otherwise(F.lit(default_type)))
-    ids = numbered_keys(enc, [var], "_vid")
-    return (enc.join(ids, var).withColumn("var3", F.concat(F.lit("V"), F.col("_vid").cast("string")))
-            .drop("_vid"))
+    (M4: W13 J22).
+
+    A name has two dictionary keys: itself without ``strip_prefix``, then
+    itself, without its last ``_suffix`` if it matches ``retry_prefix``.  Both
+    keys are looked up in one join, and the first key with
+    a label gives label and domain.  ``domain_rules`` = [(regex on domain,
+    type)], first match wins; no domain -> ``base``."""
+    coded = numbered_keys(names.select(F.col(var).alias("name")), ["name"], "number")
+    retry = F.when(F.col("name").rlike(retry_prefix), F.regexp_replace("name", r"_[^_]*$", ""))
+    wanted = F.array(F.regexp_replace("name", strip_prefix, ""), F.coalesce(retry, "name"))
+    keyed = coded.select("name", "number", F.posexplode(wanted).alias("turn", "key"))
+    found = keyed.join(_entries(dictionary), "key", "left")
+    hit = F.when(F.col("entry.var_label").isNotNull(), F.struct("turn", "entry"))
+    best = found.groupBy("name", "number").agg(F.min(hit)["entry"].alias("entry"))
+    domain, label = F.col("entry.var_domain"), F.col("entry.var_label")
+    kind = F.when(domain.isNull(), F.lit("base"))
+    for pattern, type_ in domain_rules:
+        kind = kind.when(domain.rlike(pattern), F.lit(type_))
+    return best.select(F.col("name").alias(var), label.alias("var_label"), domain.alias("var_domain"),
+                       F.coalesce(label, "name").alias("var_lbl"), kind.otherwise(F.lit(default_type)).alias("var_domain_type"),
+                       F.concat(F.lit("V"), F.col("number").cast("string")).alias("var3"))
 
 
 def shadow_feature(rows: DataFrame, seed: str = "shadow", row: str = "rowid") -> DataFrame:
@@ -246,7 +272,7 @@ def sparse_rows(long: DataFrame, encoder: DataFrame, row: str = "rowid", var: st
     values (R9).  Each row's list is bounded by the number of variables, not
     by the data size.  ``to_vectors`` turns it into ``pyspark.ml`` vectors."""
     idx = encoder.select(var, (F.regexp_replace("var3", "^V", "").cast("int") - 1).alias("_i"))
-    j = long.join(F.broadcast(idx), var)
+    j = long.join(idx, var)
     g = j.groupBy(row).agg(F.array_sort(F.collect_list(F.struct(F.col("_i").alias("i"), F.col(val).alias("v"))))
                            .alias("_e"))
     return g.select(row, F.col("_e.i").alias("indices"), F.col("_e.v").alias("values"))

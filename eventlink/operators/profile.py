@@ -18,12 +18,13 @@ def entropy_profile(long: DataFrame, id: str = "patid", var: str = "var", val: s
     (C19: A8).  ``absent_is_level=True`` counts "absent" as one more value and
     adds ``ee3 = ee1 if ee2 == 0 else ee2`` (A9).
 
-    Three aggregation levels, all with partial (map-side) aggregation: ids per
-    (var, value), ids per var, ids overall (one row, attached by broadcast).
+    One distinct pass over (id, var, value), reused by the three counts: ids per
+    (var, value), ids per var, ids overall (one row, a scalar subquery).
     """
-    n_all = long.agg(F.countDistinct(id).alias("_N"))
-    per_val = long.groupBy(var, val).agg(F.countDistinct(id).alias("_vn"))
-    per_var = long.groupBy(var).agg(F.countDistinct(id).alias("_varn"))
+    d = long.select(F.col(id).alias("_id"), var, val).distinct()
+    n_all = d.agg(F.countDistinct("_id").alias("_N"))
+    per_val = d.groupBy(var, val).agg(F.count("_id").alias("_vn"))
+    per_var = d.groupBy(var).agg(F.countDistinct("_id").alias("_varn"))
     j = attach_scalars(per_val.join(per_var, var), n_all)
     j = j.withColumn("_p1", F.col("_vn") / F.col("_N")).withColumn("_p2", F.col("_vn") / F.col("_varn"))
     extra = 1 if absent_is_level else 0
@@ -40,11 +41,11 @@ def univariate_summary(long: DataFrame, var: str = "var", val: str = "val", type
                        by: str | None = None, labels: DataFrame | None = None) -> DataFrame:
     """Mixed univariate summary over a typed long table (A15), overall or by a
     group column.  Numeric variables: ``n, mean, sd, median, q1, q3`` (exact
-    percentiles); categorical: ``n`` and ``pct`` (share of the variable's
+    percentiles; values that are not numbers count as missing); categorical: ``n`` and ``pct`` (share of the variable's
     non-missing rows) per level.  Quantiles are exact and distributed
     (:func:`ranks.exact_quantiles`), so no variable's values sit in one task."""
     g = [by] if by else []
-    numeric = long.filter(F.col(type_) == "N").withColumn("_x", F.col(val).cast("double"))
+    numeric = long.filter(F.col(type_) == "N").withColumn("_x", F.col(val).try_cast("double"))
     mom = numeric.groupBy(*g, var).agg(F.count("_x").alias("n"), F.avg("_x").alias("mean"),
                                        F.stddev_samp("_x").alias("sd"))
     qs = exact_quantiles(numeric, [*g, var], "_x", {"median": 0.5, "q1": 0.25, "q3": 0.75}).drop("n")
@@ -60,18 +61,19 @@ def univariate_summary(long: DataFrame, var: str = "var", val: str = "val", type
     cols = [*g, var, "level", "n", "pct", "mean", "sd", "median", "q1", "q3"]
     out = num.select(*cols).unionByName(cat.select(*cols))
     if labels is not None:  # (var, var_label): pretty names, the variable itself when unlabelled
-        lab = labels.select(F.col("var").alias(var), "var_label").dropDuplicates([var])
+        lab = labels.groupBy(F.col("var").alias(var)).agg(F.min("var_label").alias("var_label"))
         out = out.join(lab, var, "left").withColumn("var_label", F.coalesce("var_label", var))
     return out
 
 
 def pivot_fill(long: DataFrame, row: str, var: str, val: str, variables: Sequence[str],
-               fill: str = "NI") -> DataFrame:
-    """Long -> wide for the listed variables, first value per (row, variable),
-    missing cells ``fill`` (R8, W11).  The value list is explicit, so Spark
-    plans a single aggregation (no extra job to discover the levels)."""
+               fill: str = "NI", order: Sequence[str] = ()) -> DataFrame:
+    """Long -> wide for the listed variables, missing cells ``fill``.
+    Of several values per (row, variable) the first one by ``order``, then by
+    value: a total order.  The value list is explicit, so Spark plans a single
+    aggregation (no extra job to discover the levels)."""
     w = (long.filter(F.col(var).isin(list(variables)))
-         .groupBy(row).pivot(var, list(variables)).agg(F.min(val)))
+         .groupBy(row).pivot(var, list(variables)).agg(F.min(F.struct(*order, val))[val]))
     return w.fillna(fill, subset=list(variables))
 
 

@@ -41,7 +41,7 @@ CTE["o_admit"] = f"""
 SELECT e.patid, e.encounterid, e.enc_type, {_group_code('e.grp_code')} AS drg, e.admit_date, e.discharge_date,
        e.discharge_status, e.discharge_disposition, e.provider_id, s.enr_start, s.enr_end,
        s.enr_end AS censor_date, d.death_date
-FROM o_span s JOIN fx_encounter e ON s.patid = e.patid LEFT JOIN o_death d ON s.patid = d.patid
+FROM o_cohort s JOIN fx_encounter e ON s.patid = e.patid LEFT JOIN o_death d ON s.patid = d.patid
 WHERE e.enc_type IN ('IP','EI') AND e.admit_date BETWEEN s.enr_start AND s.enr_end"""
 
 CTE["o_lagged"] = """

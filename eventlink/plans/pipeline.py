@@ -21,7 +21,7 @@ from ..sources.tables import Fixtures
 CENSOR_LO = "1995-01-01"
 CENSOR_HI = "2000-12-31"
 HORIZON_DAYS = 30
-DRG_MIN_SHARE = 0.04
+DRG_MIN_SHARE = 0.01
 
 # Variable selections (column -> C categorical / N numeric).
 AREA_SELECTION = {"AREA_CLASS": "C", "AREA_RANK": "N", "AREA_SHARE": "N"}
@@ -78,7 +78,7 @@ class Pipeline:
     def admit(self) -> DataFrame:
         enc = self.encounters.select("patid", "encounterid", "enc_type", "drg", "admit_date", "discharge_date",
                                      "discharge_status", "discharge_disposition", "provider_id")
-        return events.admissions(self.span, enc, self.death)
+        return events.admissions(self.cohort, enc, self.death)
 
     @cached_property
     def cohort(self) -> DataFrame:
@@ -94,9 +94,8 @@ class Pipeline:
     # -- C5 / C6 / C7 ---------------------------------------------------------
     @cached_property
     def linked_keys(self) -> DataFrame:
-        # Exclusion keys are only ever matched against linked events (the index
-        # event itself, or the next event, which is linked too), so the code
-        # facts are cut to linked (person, event) pairs before any mapping.
+        # Exclusion lists are joined to the linked events, so the code facts are
+        # cut to linked (person, event) pairs before any mapping.
         return self.linked.select("patid", "encounterid")
 
     @cached_property
@@ -128,7 +127,7 @@ class Pipeline:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        # READMIT_ELIG: read by the history score, the DRG regrouping and the base.
+        # Read by the history score, the DRG regrouping and the base.
         return self._stage(self.labelled("downgrade"), "eligible")
 
     # -- C12 / C13 / C14 ------------------------------------------------------
@@ -188,32 +187,27 @@ class Pipeline:
     def base_long(self) -> DataFrame:
         return features.wide_to_long(self.base, ROW_COLS, BASE_CATEGORICAL, BASE_NUMERIC)
 
-    def attr_orig(self, kind: str) -> DataFrame:
-        """Event rows x attribute rows of the person (S_ORIG / I_ORIG)."""
-        if kind == "area":
-            return (self.base.select(*ROW_COLS, "ctx_id").join(self.area_long.drop("src", "geocode"), "ctx_id")
-                    .select(*ROW_COLS, "var", "val", "type").distinct())
-        return (self.base.select(*ROW_COLS).join(self.person_long.drop("src"), "patid")
-                .select(*ROW_COLS, "var", "val", "type").distinct())
-
     def profile(self, kind: str) -> DataFrame:
-        return features.variable_profile(self.attr_orig(kind))
+        if kind == "area":
+            return features.variable_profile(self.area_long, self.base, "ctx_id")
+        return features.variable_profile(self.person_long, self.base, "patid")
 
-    def feature_long(self, kind: str) -> DataFrame:
+    def attribute_features(self, kind: str, impute: bool = False) -> DataFrame:
         if kind == "area":
-            return features.feature_long(self.base_long, self.area_num, self.base, self.profile("area"),
-                                         F.col("rt") >= 0.5, person_key="ctx_id", attr_person="ctx_id",
-                                         row_cols=ROW_COLS)
-        return features.feature_long(self.base_long, self.person_num, self.base, self.profile("person"),
-                                     (F.col("rt") >= 0.01) | (F.col("type") == "C"), person_key="patid",
-                                     attr_person="patid", row_cols=ROW_COLS)
+            return features.attribute_features(self.area_num, self.base, self.profile("area"), F.col("rt") >= 0.5,
+                                               person_key="ctx_id", attr_person="ctx_id", row_cols=ROW_COLS, impute=impute)
+        return features.attribute_features(self.person_num, self.base, self.profile("person"),
+                                           (F.col("rt") >= 0.01) | (F.col("type") == "C"), person_key="patid",
+                                           attr_person="patid", row_cols=ROW_COLS, impute=impute)
+
+    def feature_long(self, *kinds: str, impute: bool = False) -> DataFrame:
+        return features.feature_long(self.base_long, *[self.attribute_features(k, impute) for k in kinds], row_cols=ROW_COLS)
 
     @cached_property
     def features_all(self) -> DataFrame:
-        """Union of both feature sets (SI_LONG), written once: the encoder,
+        """Base and both attribute feature sets, written once: the encoder,
         sparse rows, importance and shared-feature steps all read it."""
-        f = self.feature_long("area").unionByName(self.feature_long("person")).distinct()
-        return self._stage(f, "features_all")
+        return self._stage(self.feature_long("area", "person"), "features_all")
 
 
 COHORT_COLUMNS = ["patid", "birth_date", "sex", "race", "hispanic", "enr_start", "enr_end", "ctx_id", "first_value",

@@ -174,17 +174,7 @@ def freq_regroup(spark, sf_dir):
     return _pipe(spark, sf_dir).drg_groups
 
 
-_RECODE_ORACLE = """
-SELECT b.patid, COALESCE(b.sex, d.sex) AS sex,
-  CASE WHEN COALESCE(d.race, b.race) = '05' THEN 'WH' WHEN COALESCE(d.race, b.race) = '03' THEN 'AA'
-       WHEN COALESCE(d.race, b.race) = '02' THEN 'AS' WHEN COALESCE(d.race, b.race) = '01' THEN 'AI'
-       WHEN COALESCE(d.race, b.race) IN ('NI', 'UN') OR COALESCE(d.race, b.race) IS NULL THEN 'NI' ELSE 'OT' END AS race,
-  CASE WHEN d.hispanic = 'Y' OR b.hispanic = 'Y' THEN 'Y' WHEN d.hispanic = 'N' OR b.hispanic = 'N' THEN 'N'
-       ELSE 'NI' END AS hispanic
-FROM fx_person b LEFT JOIN fx_person_alt d ON b.patid = d.patid"""
-
-
-@register("recode_two_source", 5, "P16 P17", compose(_RECODE_ORACLE))
+@register("recode_two_source", 5, "P16 P17", compose("SELECT patid, sex, race, hispanic FROM o_demo"))
 def recode_two_source(spark, sf_dir):
     from ..functions.columns import recode_any, recode_first
     fx = Fixtures(spark, sf_dir)
@@ -243,8 +233,17 @@ def feature_long_person(spark, sf_dir):
 @register("feature_long_all", 6, "R7 (union of both feature sets)",
           compose("SELECT * FROM o_s_long UNION SELECT * FROM o_i_long"))
 def feature_long_all(spark, sf_dir):
-    p = _pipe(spark, sf_dir)
-    return p.feature_long("area").unionByName(p.feature_long("person")).distinct()
+    return _pipe(spark, sf_dir).feature_long("area", "person")
+
+
+@register("feature_long_imputed", 6, "M11 (imputation value for every row without a kept numeric variable)", compose(f"""
+SELECT * FROM o_i_long
+UNION
+SELECT b.rowid, b.patid, b.encounterid, b.label, p.var, p.imp_val FROM o_base b, o_i_prof p
+WHERE p.rt >= 0.01 AND p.imp_val IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM o_i_long f WHERE f.rowid = b.rowid AND f.var = p.var)"""))
+def feature_long_imputed(spark, sf_dir):
+    return _pipe(spark, sf_dir).feature_long("person", impute=True)
 
 
 def _entropy_sql(src: str, id: str, sparse: bool) -> str:
@@ -311,7 +310,7 @@ def univariate_by_group(spark, sf_dir):
     return _round_summary(profile.univariate_summary(_typed(_pipe(spark, sf_dir)), by="label"))
 
 
-_PIVOT_VARS = ["H_SEGMENT", "H_OWN_RENT", "H_FLAG"]
+_PIVOT_VARS = [c for c in PERSON_SELECTION if not c.endswith("_PREC")]
 
 
 @register("pivot_fill", 6, "R8 W11", compose(

@@ -73,23 +73,25 @@ def leakage_check(spark, sf_dir):
     return outs[0].unionByName(outs[1])
 
 
+# Every name with its keys in turn; the first key with a label decides.
+_ENC_KEYS = """
+SELECT var, 1 AS turn, regexp_replace(var, '^(DRG_REGRP_DRG_)+', '') AS key FROM o_names
+UNION ALL
+SELECT var, 2, if(regexp_matches(var, '^(P_|H_)'), regexp_replace(var, '_[^_]*$', ''), var) FROM o_names"""
+
 _ENC_ORACLE = """
-SELECT e.var, COALESCE(e.var_label, d.var_label) AS var_label, COALESCE(e.var_domain, d.var_domain) AS var_domain,
-  COALESCE(e.var_label, d.var_label, e.var) AS var_lbl,
-  CASE WHEN regexp_matches(COALESCE(e.var_domain, d.var_domain), '^PERSON') THEN 'i_sdh'
-       WHEN regexp_matches(COALESCE(e.var_domain, d.var_domain), 'DRG') THEN 'base'
-       WHEN COALESCE(e.var_domain, d.var_domain) IS NULL THEN 'base' ELSE 's_sdh' END AS var_domain_type,
-  'V' || CAST(DENSE_RANK() OVER (ORDER BY e.var) AS VARCHAR) AS var3
-FROM (
-  SELECT n.var, d.var_label, d.var_domain,
-         CASE WHEN d.var_label IS NULL AND regexp_matches(n.var, '^(P_|H_)') THEN regexp_replace(n.var, '_[^_]*$', '')
-              ELSE n.var END AS var2y
-  FROM o_names n LEFT JOIN o_dict d ON regexp_replace(n.var, '^(DRG_REGRP_DRG_)+', '') = d.var) e
-LEFT JOIN o_dict d ON e.var2y = d.var"""
+SELECT t.var, t.hit.var_label AS var_label, t.hit.var_domain AS var_domain, coalesce(t.hit.var_label, t.var) AS var_lbl,
+       CASE WHEN t.hit.var_domain IS NULL THEN 'base' ELSE coalesce(
+         (SELECT arg_min(r.kind, r.n) FROM (VALUES (1, '^PERSON', 'i_sdh'), (2, 'DRG', 'base')) r(n, pattern, kind)
+          WHERE regexp_matches(t.hit.var_domain, r.pattern)), 's_sdh') END AS var_domain_type,
+       'V' || (SELECT count(*) FROM o_names s WHERE s.var <= t.var) AS var3
+FROM (SELECT k.var, arg_min({'var_label': d.var_label, 'var_domain': d.var_domain}, k.turn)
+             FILTER (WHERE d.var_label IS NOT NULL) AS hit
+      FROM o_enc_keys k LEFT JOIN o_dict d ON d.var = k.key GROUP BY k.var) t"""
 
 _ENC_CTES = (("o_feat_all", "SELECT * FROM o_s_long UNION SELECT * FROM o_i_long"),
              ("o_names", "SELECT DISTINCT var FROM o_feat_all"),
-             ("o_dict", _DICT_ORACLE), ("o_enc", _ENC_ORACLE))
+             ("o_dict", _DICT_ORACLE), ("o_enc_keys", _ENC_KEYS), ("o_enc", _ENC_ORACLE))
 
 DOMAIN_RULES = [("^PERSON", "i_sdh"), ("DRG", "base")]
 
@@ -148,7 +150,7 @@ def shared_features(spark, sf_dir):
 _SC = """
 SELECT pred AS score, CAST(SUM(CASE WHEN actual = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
        CAST(SUM(CASE WHEN actual = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg
-FROM fx_scores GROUP BY pred"""
+FROM fx_scores WHERE pred IS NOT NULL GROUP BY pred"""
 
 _CUT = """
 SELECT score AS cutoff, tp, fp, P - tp AS fn, N - fp AS tn, round(tp / P, 9) AS rec_sens, round((N - fp) / N, 9) AS spec,
@@ -175,7 +177,7 @@ def pr_curve(spark, sf_dir):
 
 
 _ROC = """
-SELECT n_pos, n_neg, round(s10 / n_pos, 9) AS auc,
+SELECT n_pos, n_neg, (SELECT COUNT(*) FROM fx_scores WHERE pred IS NULL) AS n_unscored, round(s10 / n_pos, 9) AS auc,
   round(greatest(s10 / n_pos - 1.959963984540054 * sqrt(greatest(
     ((q10 - n_pos * (s10 / n_pos) * (s10 / n_pos)) / (n_pos - 1)) / n_pos
     + ((q01 - n_neg * (s10 / n_pos) * (s10 / n_pos)) / (n_neg - 1)) / n_neg, 0.0)), 0.0), 9) AS auc_lb,
@@ -198,7 +200,7 @@ FROM (
 @register("roc_auc", 8, "A18 C20 (AUC, DeLong interval, average precision)", compose(_ROC, ("o_sc", _SC)))
 def roc_auc(spark, sf_dir):
     r = evaluate.roc_auc(Fixtures(spark, sf_dir).fx_scores)
-    return r.select(F.col("n_pos").cast("bigint"), F.col("n_neg").cast("bigint"), _r("auc"), _r("auc_lb"),
+    return r.select(F.col("n_pos").cast("bigint"), F.col("n_neg").cast("bigint"), "n_unscored", _r("auc"), _r("auc_lb"),
                     _r("auc_ub"), _r("pr_auc"))
 
 
@@ -217,14 +219,51 @@ def calibration_bins(spark, sf_dir):
     return b.select("bin", "n", _r("y_p"), _r("pred_p"), _r("binCI_lower"), _r("binCI_upper"))
 
 
-@register("calibration_test", 8, "A20 (Hosmer-Lemeshow test; p-value not SQL-expressible)")
-def calibration_test(spark, sf_dir):
-    return evaluate.calibration_test(evaluate.calibration_bins(Fixtures(spark, sf_dir).fx_scores))
+_CAL_TEST = """
+SELECT 'hosmer_lemeshow' AS test, round(x, 9) AS statistics, k AS dof,
+       round(exp(-x / 2) * list_sum([pow(x / 2, j) / gamma(j + 1) for j in range(0, CAST(k / 2 AS INTEGER))]), 9) AS pval
+FROM (SELECT SUM(pow(obs - expct, 2) / (expct * (1 - expct / n))) AS x, COUNT(*) - 2 AS k
+      FROM (SELECT bin, COUNT(*) AS n, CAST(SUM(actual) AS DOUBLE) AS obs, SUM(pred) AS expct
+            FROM (SELECT CAST(floor((ROW_NUMBER() OVER (ORDER BY pred, id) - 1) * 20 / COUNT(*) OVER ()) + 1 AS INTEGER) AS bin,
+                         actual, pred FROM fx_scores WHERE pred IS NOT NULL) b GROUP BY bin) g) t"""
 
 
-@register("bootstrap_band", 8, "A19 (Poisson bootstrap on score-level counts; random, no oracle)")
+@register("calibration_test", 8, "A20 (Hosmer-Lemeshow test)", compose(_CAL_TEST))
+def calibration_test(spark, sf_dir):
+    t = evaluate.calibration_test(evaluate.calibration_bins(Fixtures(spark, sf_dir).fx_scores))
+    return t.select("test", _r("statistics"), F.col("dof").cast("bigint"), _r("pval"))
+
+
+# The draws follow from md5, so the band is SQL too: the least k whose Poisson
+# distribution function reaches the uniform, for pieces of 64 at most.
+_BAND = """
+WITH cdf AS (SELECT m, k, sum(exp(-m + k * ln(m) - lgamma(k + 1))) OVER (PARTITION BY m ORDER BY k) AS c
+             FROM (SELECT m, unnest(range(0, 200)) AS k FROM range(1, 65) t(m))),
+placed AS (SELECT row_number() OVER (ORDER BY score DESC) AS place, pos, neg FROM o_sc),
+cell AS (SELECT place, side, c, unnest(range(0, (c - 1) // 64 + 1)) AS piece
+         FROM (SELECT place, 'p' AS side, pos AS c FROM placed UNION ALL SELECT place, 'n', neg FROM placed) WHERE c > 0),
+draw AS (SELECT rep, place, side, least(64, c - 64 * piece) AS m,
+                CAST('0x' || substr(md5('boot:' || side || ':' || rep || ':' || place || ':' || piece), 1, 8) AS BIGINT)
+                / CAST(4294967296 AS DOUBLE) AS u
+         FROM cell, range(1, 501) r(rep)),
+w AS (SELECT rep, place, sum(if(side = 'p', k, 0)) AS pos, sum(if(side = 'n', k, 0)) AS neg
+      FROM (SELECT d.rep, d.place, d.side, cdf.k FROM draw d ASOF JOIN cdf ON d.m = cdf.m AND cdf.c >= d.u) GROUP BY ALL),
+roc AS (SELECT rep, sum(pos) OVER o / sum(pos) OVER a AS sens, 1 - sum(neg) OVER o / sum(neg) OVER a AS spec
+        FROM w WINDOW o AS (PARTITION BY rep ORDER BY place), a AS (PARTITION BY rep)),
+best AS (SELECT rep, g, coalesce(max(sens), 0) AS sens
+         FROM (SELECT rep, g FROM range(1, 501) r(rep), range(0, 25) t(g))
+              LEFT JOIN (SELECT rep AS rp, floor(spec * 24 + 1e-9) AS reach, max(sens) AS sens FROM roc GROUP BY ALL)
+              ON rp = rep AND reach >= g GROUP BY ALL)
+SELECT g / 24 AS x, round(quantile_cont(sens, 0.025), 9) AS sens_lb, round(quantile_cont(sens, 0.5), 9) AS sens_m,
+       round(quantile_cont(sens, 0.975), 9) AS sens_ub
+FROM best GROUP BY g"""
+
+
+@register("bootstrap_band", 8, "A19 (Poisson bootstrap on score-level counts)",
+          compose(_BAND.replace("WITH cdf", "SELECT * FROM (WITH cdf", 1) + ") band", ("o_sc", _SC)))
 def bootstrap_band(spark, sf_dir):
-    return evaluate.bootstrap_band(Fixtures(spark, sf_dir).fx_scores)
+    b = evaluate.bootstrap_band(Fixtures(spark, sf_dir).fx_scores)
+    return b.select("x", _r("sens_lb"), _r("sens_m"), _r("sens_ub"))
 
 
 def _importance(spark, p: Pipeline):
@@ -328,13 +367,27 @@ def merge_sources_relink(spark, sf_dir):
 
 # -- step 9 -------------------------------------------------------------------
 
-@register("gbt_feature_sets", 9, "M6 M7 M8 S9 (trained models; rows-only check)")
+# Variables that no model may use.
+MODEL_EXCLUDED = ("P_PROMINENCE", "DRG_REGRP_DRG_000", "DRG_REGRP_DRG_OT", "DRG_REGRP_DRG_NI", "IP_CUMCNT_12M",
+                  "CCI_CLASS_CCI0", "CCI_CLASS_CCI1", "CCI_CLASS_CCI2", "CCI_CLASS_CCI3")
+
+
+@register("gbt_feature_sets", 9, "M6 M7 M8 M9 S9 P21 O4 (trained models: scores, and ranked gains)")
 def gbt_feature_sets(spark, sf_dir):
+    """Rows of both outputs of the four models: ``kind`` score (rowid, actual,
+    pred) or gain (var, gain, rank, above_shadow)."""
     p = _pipe(spark, sf_dir)
     split = features.hash_split(p.base, "patid", keep=["rowid"])
-    sets = {"base": p.base_long, "sdoh_s": p.feature_long("area"), "sdoh_i": p.feature_long("person")}
-    params = dict(model.REFERENCE_PARAMS, maxDepth=5)
-    return model.gbt_feature_sets(sets, split, p.base, params=params, tree_grid=(20,))
+    sets = {"base": p.base_long, "sdoh_s": p.feature_long("area"), "sdoh_i": p.feature_long("person"),
+            "sdoh_si": p.features_all}
+    scores, gains = model.gbt_feature_sets(sets, split, p.base, fold="cv5", exclude=MODEL_EXCLUDED)
+    ranked = evaluate.importance_rank(gains, by=["model"])
+    nothing = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+    scored = scores.select("model", F.lit("score").alias("kind"), "rowid", "actual", "pred",
+                           *nothing("string", "var"), *nothing("double", "gain", "rank"), *nothing("int", "above_shadow"))
+    return scored.unionByName(ranked.select(
+        "model", F.lit("gain").alias("kind"), *nothing("bigint", "rowid"), *nothing("int", "actual"),
+        *nothing("double", "pred"), "var", "gain", F.col("rank").cast("double"), F.col("above_shadow").cast("int")))
 
 
 # -- report tables (A11, A14, J24) --------------------------------------------

@@ -39,3 +39,15 @@ def test_univariate_summary_labels(spark):
     lab = spark.createDataFrame([("AGE", "Age in years")], "var string, var_label string")
     out = {r.var: r.var_label for r in profile.univariate_summary(df, labels=lab).collect()}
     assert out == {"AGE": "Age in years", "SEX": "SEX"}
+
+
+def test_univariate_summary_passes_over_text_in_a_number(spark):
+    df = spark.createDataFrame([("V", "1", "N"), ("V", "x", "N"), ("V", "3", "N")], "var string, val string, type string")
+    r = profile.univariate_summary(df).first()
+    assert (r.n, r.mean, r.median) == (2, 2.0, 2.0)
+
+
+def test_labels_are_the_first_of_several(spark):
+    df = spark.createDataFrame([("V", "1", "N")], "var string, val string, type string")
+    lab = spark.createDataFrame([("V", "zeta"), ("V", "alpha")], "var string, var_label string")
+    assert profile.univariate_summary(df, labels=lab.repartition(3)).first().var_label == "alpha"
