@@ -14,6 +14,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from ..session import drop_materialized
 from .registry import QUERIES
 
 
@@ -23,6 +24,7 @@ def write_tables(spark: SparkSession, sf_dir: str, out: str, names: list[str] |
     done = []
     for n in names or list(QUERIES):
         QUERIES[n].build(spark, sf_dir).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{n}")
+        drop_materialized(spark)
         done.append(n)
     return done
 

@@ -1,9 +1,9 @@
 """Session helpers.
 
 The library never creates a machine-local scratch folder on a cluster: lineage
-is cut with ``DataFrame.checkpoint()`` into the folder the cluster names in
-``spark.checkpoint.dir``.  Only when that is unset (local tests) do we point it
-at a folder we were given.
+is cut by writing a stage as Parquet into the folder that the cluster names in
+``spark.checkpoint.dir`` and reading it back.  Where that is unset, a local
+session (tests) uses a folder below the warehouse, and any other one raises.
 """
 
 from __future__ import annotations
@@ -56,9 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder: ``spark.checkpoint.dir`` when the cluster
-    names one, else a folder under the (shared) warehouse dir."""
+    """The shared checkpoint folder: ``spark.checkpoint.dir``; in a local session
+    without one, a folder under the warehouse dir."""
     d = _configured_dir(spark)
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         wh = spark.conf.get("spark.sql.warehouse.dir")
         d = wh.rstrip("/") + "/_eventlink_checkpoints"
