@@ -82,6 +82,8 @@ class Pieces:
 
     def _spaced(self, piece: str):
         """A piece behind a space."""
+        if piece.isascii() and piece.isalpha():  # most misses
+            return self._word(piece, self.space)
         if self.glued and not sure(piece):
             raise Unsure
         m = PLAIN.fullmatch(piece)
