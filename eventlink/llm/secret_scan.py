@@ -2,11 +2,11 @@
 
 Bigram models over the characters of keys are trained from the corpus itself.
 The fixed patterns label the samples: what they match are random strings, every
-other run of eight or more such characters is an ordinary identifier (counted
+run of eight or more such characters apart from them is an ordinary identifier (counted
 also in capitals, which running text seldom shows).  A uniform prior stands for
 random strings of any other alphabet.  All documents are counted; each task
-returns two tables of fixed size.  A run of twenty or more characters that no
-pattern covers is a secret when the log-likelihood ratio of the two models
+returns two tables of fixed size.  Twenty or more characters of a run that no
+pattern covers, also beside one that does, are a secret when the log-likelihood ratio of the two models
 exceeds ``threshold``.
 
 Defined cases: a null or empty text holds none, and stays as it is; repeated
@@ -66,6 +66,19 @@ def other_runs(text: str, base: list, least: int) -> Iterator[tuple[int, int]]:
             yield m.start(), m.end()
 
 
+def open_pieces(text: str, base: list, least: int) -> Iterator[tuple[int, int]]:
+    """What base spans leave of the runs of the alphabet, in pieces of ``least`` characters or more."""
+    for m in RUN.finditer(text):
+        at = m.start()
+        for s, _, e, _ in base:
+            if s < m.end() and at < e:
+                if s - at >= least:
+                    yield at, s
+                at = max(at, e)
+        if m.end() - at >= least:
+            yield at, m.end()
+
+
 def pair_counts(strings: list[str]) -> np.ndarray:
     """Counts of neighbouring characters, ends included."""
     if not strings:
@@ -113,7 +126,7 @@ def score(text: str, ratio: np.ndarray) -> float:
 def spans(text: str, ratio: np.ndarray, threshold: float = THRESHOLD) -> tuple[list, list]:
     """Base spans, and all spans as (start, kind's place, end)."""
     base = base_spans(text)
-    more = [(s, len(KINDS), e) for s, e in other_runs(text, base, LEAST) if score(text[s:e], ratio) > threshold]
+    more = [(s, len(KINDS), e) for s, e in open_pieces(text, base, LEAST) if score(text[s:e], ratio) > threshold]
     return base, sorted([x[:3] for x in base] + more)
 
 

@@ -109,3 +109,19 @@ def test_redact(spark):
     assert got[6]["text"] == "[SECRET] AKIA123"
     assert got[8]["text"] == "token [SECRET]=password=abcdef" or S.MARK in got[8]["text"]
     assert got[11]["text"] == CASES[-1][1] and got[11]["n_chars"] == len(CASES[-1][1])
+
+
+def test_secrets_beside_base_spans(spark):
+    """Pieces of a run before, between and behind the fixed patterns."""
+    rng = random.Random(12)
+    make = lambda n: "".join(rng.choices("GHJKLMNPQRSTUVWXYZghjkmnpqrstuvwxyz23456789", k=n))
+    a, b, c = make(30), make(40), make(30)
+    hexes, access = "0123456789abcdef" * 2 + "01234567", "AKIA" + "Q7W2E9R4T6Y1U3I8"
+    cases = [f"x {hexes}-{a} y", f"x {access}/{b} y", f"x {c}-{hexes}/{a}+{hexes} y", f"{hexes}-short_{hexes}"]
+    ratio = S.train(docs(spark, texts(spark) + [(900 + i, t) for i, t in enumerate(cases)]))
+    for text, secrets in zip(cases, [[a], [b], [a, c], []]):
+        base, found = S.spans(text, ratio)
+        markov = [(s, e) for s, k, e in found if k == len(S.KINDS)]
+        assert len(base) >= 1 and len(markov) == len(secrets), text
+        assert not any(s < f and t < e for s, e in markov for t, _, f, _ in base)
+        assert not any(x in S.redacted(text, ratio) for x in [*secrets, hexes, access])
