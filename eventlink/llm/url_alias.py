@@ -27,6 +27,10 @@ from .components import components
 BIG, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: ``canonical`` as any token of the rel attribute.
+CANONICAL = (r"(?i)\srel\s*=\s*(?:\"(?:[^\">]*\s)?canonical[\s\">]|'(?:[^'>]*\s)?canonical[\s'>]|canonical[\s/>])")
+
+
 class Rule(NamedTuple):
     """``text``: host and start of the path, as ``example.com/de/``."""
 
@@ -98,8 +102,9 @@ def absolute(link: Column, url: Column) -> Column:
 
 def links_of(pages: DataFrame) -> DataFrame:
     """url, link: canonical and refresh targets in the pages' head tags."""
-    tags = F.filter(F.regexp_extract_all("html", F.lit(r"(?i)<(?:link|meta)\s[^>]*>"), F.lit(0)),
-                    lambda t: t.rlike(r"(?i)\srel\s*=\s*[\"']?\s*canonical\b")
+    tags = F.transform(F.regexp_extract_all("html", F.lit(r"(?i)<(?:link|meta)\s[^>]*>"), F.lit(0)),
+                       lambda t: F.regexp_replace(t, r"(=\s*(?:\"[^\"]*\"|'[^']*'))", "$1 "))  # no space need follow a closing quote
+    tags = F.filter(tags, lambda t: t.rlike(CANONICAL)
                     | t.rlike(r"(?i)\shttp-equiv\s*=\s*[\"']?\s*refresh\b"))
     rows = pages.where(F.col("url").isNotNull() & F.col("html").isNotNull()).select("url", F.explode(tags).alias("tag"))
     href = F.regexp_extract("tag", r"(?i)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", 0)

@@ -8,7 +8,7 @@ from frames import SF, table
 from pyspark.sql import functions as F
 
 from eventlink.llm import oracles
-from eventlink.llm.url_alias import RULES, Rule, absolute, judge_urls, rule_of
+from eventlink.llm.url_alias import RULES, Rule, absolute, judge_urls, links_of, rule_of
 
 PAGES = "page_id long, url string, html string"
 
@@ -107,3 +107,17 @@ def test_oracle(spark, tmp_path):
         got = [tuple(r) for r in judge_urls(spark.read.parquet(path)).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert judge_urls(table(spark, "pages").limit(0)).count() == 0
+
+
+def test_canonical_is_any_token(spark):
+    tags = {'<link rel="alternate canonical" href="{}">': True, '<link rel="canonical"href="{}">': True,
+            "<link rel='x\ncanonical y'href='{}'>": True, "<link href='{}'rel=canonical>": True, '<link rel= canonical href={} />': True,
+            '<meta content="0; url={}"http-equiv="refresh">': True, '<link title="href=/no"rel=canonical href="{}">': True,
+            '<link rel="canonical-x" href="{}">': False, '<link rel="noncanonical" href="{}">': False,
+            '<link rel="alternate" title="canonical" href="{}">': False, '<link rel=canonicals href="{}">': False}
+    rows = [(i, f"http://a.info/{i}", "<p>" + t.format(f"http://x.net/{i}") + "</p>") for i, t in enumerate(tags)]
+    df = spark.createDataFrame(rows, PAGES)
+    got = {r["url"]: r["link"].strip() for r in links_of(df).collect()}
+    assert got == {f"http://a.info/{i}": f"http://x.net/{i}" for i, found in enumerate(tags.values()) if found}
+    verdicts = {r["page_id"]: r["verdict"] for r in judge_urls(df).collect()}
+    assert verdicts == {i: "block" if found else "allow" for i, found in enumerate(tags.values())}
