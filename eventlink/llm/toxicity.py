@@ -6,7 +6,9 @@ that occur together, the product of their factor vectors, so that a pair can
 weigh more, or less, than its parts.  It is fitted on a bounded sample of
 labelled rows (``max_rows``, taken in the order of a hash of the id) from four
 of five folds; the terms are those of the sample that differ most between the
-classes (chi-square, up to ``TERMS`` of them).  Scoring reads every whole text in parallel.
+classes (chi-square, up to ``TERMS`` of them) and, among these and the most
+frequent others, those that tell the classes apart only together with another
+term.  Scoring reads every whole text in parallel.
 
 Defined cases: a null or empty text has no term and scores by the bias; rows
 with a null id are scored and not held out; a document with several labels
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -33,6 +36,8 @@ MAX_ROWS = 10_000
 TERMS = 8192
 FACTORS = 8
 MIN_CHI = 10.83  # a chance of one in a thousand
+LEAST_ROWS = 10
+CHANCE = 1e-3
 EPOCHS = 30
 RATE = 0.1
 DECAY = 1e-4
@@ -82,7 +87,8 @@ class Machine:
 
 
 def chosen(lists: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
-    """The places whose presence differs most between the classes."""
+    """The places whose presence differs most between the classes, and then those
+    that matter in a pair among them and the most frequent others."""
     have = [np.bincount(np.concatenate([x for x, t in zip(lists, y) if t == c] or [np.empty(0, np.int64)]),
                         minlength=DIMS).astype(float) for c in (0, 1)]
     n0, n1 = float((y == 0).sum()), float((y == 1).sum())
@@ -91,7 +97,48 @@ def chosen(lists: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
         chi = np.nan_to_num((have[1] * n - total * n1) ** 2 * n / (total * (n - total) * n0 * n1))
     chi[total < 3] = 0
     best = np.argsort(-chi, kind="stable")[:most]
-    return best[chi[best] > MIN_CHI]
+    best = best[chi[best] > MIN_CHI]
+    total[best] = 0
+    rest = np.argsort(-total, kind="stable")[:most - len(best)]
+    pool = np.concatenate([best, rest[total[rest] >= 2 * LEAST_ROWS]])
+    found = paired(lists, y, pool)
+    return np.concatenate([best, found[~np.isin(found, best)]])
+
+
+def paired(lists: list[np.ndarray], y: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The places that matter in a pair: the share of toxic rows with both differs
+    from what the shares with either and with none add up to.  Each of the four
+    cases needs ``LEAST_ROWS``; the bound holds for all pairs together."""
+    n, k = len(y), len(places)
+    if not k:
+        return places
+    at = np.full(DIMS, -1, np.int32)
+    at[places] = np.arange(k)
+    rows = [(r := at[x])[r >= 0] for x in lists]
+    sizes = np.array([len(r) for r in rows])
+    flat, doc = np.concatenate(rows), np.repeat(np.arange(n, dtype=np.int32), sizes)
+    have, toxic = np.bincount(flat, minlength=k), np.bincount(flat, y[doc], k)
+    holders = np.split(doc[np.argsort(flat, kind="stable")], np.cumsum(have)[:-1])
+
+    def beside(some: np.ndarray) -> np.ndarray:
+        found = np.zeros(k, np.int64)
+        for lo in range(0, len(some), 500):
+            found += np.bincount(np.concatenate([rows[i] for i in some[lo:lo + 500]]), minlength=k)
+        return found
+
+    noise = y.mean() * (1 - y.mean())
+    strength = np.zeros(k)
+    for a in range(k):
+        held = holders[a]
+        bad = beside(held[y[held] == 1])
+        both = bad + beside(held[y[held] == 0])
+        counts = np.stack([both, have[a] - both, have - both, n - have[a] - have + both])
+        rate = (np.stack([bad, toxic[a] - bad, toxic - bad, y.sum() - toxic[a] - toxic + bad]) + 0.5) / (counts + 1)
+        spread = (np.maximum(rate * (1 - rate), noise) / (counts + 1)).sum(axis=0)
+        z = np.abs(rate[0] - rate[1] - rate[2] + rate[3]) / np.sqrt(spread)
+        strength[a] = z[counts.min(axis=0) >= LEAST_ROWS].max(initial=0)
+    order = np.argsort(-strength, kind="stable")
+    return places[order[strength[order] > NormalDist().inv_cdf(1 - CHANCE / k ** 2)]]
 
 
 def fit(lists: list[np.ndarray], y: np.ndarray, most: int = TERMS, factors: int = FACTORS, epochs: int = EPOCHS) -> Machine:

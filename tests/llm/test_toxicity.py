@@ -33,6 +33,22 @@ def test_pairs_that_add_up_to_nothing():
     assert auc(np.array(y[3000:]), held) > 0.99
 
 
+def test_pairs_of_neutral_words():
+    """Toxic when one of two words stands without the other: neither tells anything alone."""
+    rng = random.Random(9)
+    lists, y = [], []
+    for _ in range(4000):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"n{rng.randrange(50)}" for _ in range(6)] + ["insult"] * insult + ["group"] * group
+        lists.append(np.array(terms(" ".join(words))))
+        y.append(int(insult != group))
+    model = fit(lists[:3000], np.array(y[:3000]))
+    score = lambda t: model.score(terms(t))
+    assert min(score("insult n1"), score("group n1")) > 0.5 > max(score("insult group n1"), score("n1"))
+    held = np.array([model.score(list(x)) for x in lists[3000:]])
+    assert auc(np.array(y[3000:]), held) > 0.95
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     rows = toxicity(table(spark, "documents", sf), table(spark, "labels", sf)).where("held_out").collect()
