@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracles
+from .byte_bpe import round_trip
 from .common import table
 from .host_quality import host_quality
 from .packing import pack, packed_digest
@@ -62,6 +63,10 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives(table(spark, sf_dir, "pages"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_packing": op2_packing,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
     "op10_warc_revisits": op10_warc_revisits,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
