@@ -113,3 +113,36 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN n > 1 AND page_id IS DISTINCT FROM original THEN original END AS refers_to
 FROM d
 """
+
+#: Every kept term of a language against every source of it, zeros included.
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM documents),
+x AS (SELECT lang, source, doc, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM x GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cell AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, count(x.doc) AS n
+         FROM grp g JOIN kept k ON k.lang = g.lang
+         LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term
+         GROUP BY ALL),
+p AS (SELECT c.lang, c.source, c.term, c.n,
+             1 + (1000000000::HUGEINT * (c.n + 2)) // (sum(c.n) OVER (PARTITION BY c.lang, c.source) + 2 * s.v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (c.lang_n + 2)) // (s.total + 2 * s.v)::HUGEINT AS q
+      FROM cell c JOIN sizes s ON s.lang = c.lang),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(pair.value, 0) AS BIGINT) AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+terms AS (SELECT lang, source, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value
+          FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+        UNION ALL SELECT lang, source, 'term', item, value FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracles
 from .byte_bpe import round_trip
 from .common import table
+from .divergence import source_divergence
 from .host_quality import host_quality
 from .packing import pack, packed_digest
 from .secret_scan import find_secrets
@@ -67,6 +68,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_packing": op2_packing,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scans": op9_secret_scans,
     "op10_warc_revisits": op10_warc_revisits,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -86,4 +92,5 @@ ORACLES: dict[str, str] = {
     "op4_url_aliases": oracles.URL_VERDICTS,
     "op5_host_quality": oracles.HOST_QUALITY,
     "op10_warc_revisits": oracles.WARC_RECORDS,
+    "op13_source_divergence": oracles.DIVERGENCE,
 }

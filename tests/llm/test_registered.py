@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 
 def test_every_operator_has_one_query():
     found = [m[1] for m in map(re.compile(r"op(\d+)_").match, entry.queries()) if m]
-    assert sorted(map(int, found)) == list(range(1, 11))
+    assert sorted(map(int, found)) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
