@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracles
+from .alignment import alignment
 from .byte_bpe import round_trip
 from .common import table
 from .divergence import source_divergence
@@ -64,6 +65,10 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_secret_scans": op9_secret_scans,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_token_alignment": op11_token_alignment,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_source_divergence": op13_source_divergence,
 }
