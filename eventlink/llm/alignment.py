@@ -20,8 +20,10 @@ A hot pair is one entry of each head, however many documents hold it; bodies are
 never brought together by key.  A task holds a run, or FAN heads of one part.
 
 Texts are cut at single spaces between printable characters, where neither
-vocabulary's tokens cross (no piece of B has a space mark behind another
-character, which is checked); a task keeps short stretches up to a bound.
+vocabulary's tokens cross, and stretches of plain letters also before marks and
+line ends (no piece of B has a space mark behind another character, a line end, or
+a letter before a mark, which is checked); a task keeps short stretches, and the
+words and marks that they are made of, up to a bound.
 
 Defined cases: texts that are null, empty, or that either vocabulary does not give
 back byte for byte, have no tokens: zeros and an empty digest.  Null and repeated
@@ -34,6 +36,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
+from array import array
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -50,11 +54,11 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from .byte_bpe import byte_chars
 from .common import stage, take_columns, text_of
-from .pieces import LETTERS_ONLY, Pieces, sure
+from .pieces import LETTERS, LETTERS_ONLY, MARKS, PLAIN, Pieces, sure
 
 #: Records of a run; longest kept stretch, and how many are kept.
 SPILL = 4 << 20
-KEPT_CHARS, KEPT = 64, 150_000
+KEPT_CHARS, KEPT, KEPT_ATOMS = 64, 250_000, 250_000
 FAN = 64
 SLICE = 200
 #: A key: B id, A id, document's place in its run.
@@ -74,10 +78,14 @@ class Aligner:
         names = [self.a.library.id_to_token(i) for i in range(self.a.library.get_vocab_size())]
         self.bytes_a = [bytes([of_char[c] for c in x]) for x in names]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
-        if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces) or max(len(names), len(pieces)) > 1 << ID_BITS:
-            raise ValueError("a piece crosses a space, or a vocabulary is too large")
+        crossing = re.compile(f"[^{SPACE_MARK}]{SPACE_MARK}|\n|[{LETTERS}][{MARKS}]")
+        if any(map(crossing.search, pieces)) or max(len(names), len(pieces)) > 1 << ID_BITS:
+            raise ValueError("a piece crosses a cut, or a vocabulary is too large")
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.line_end = self.b.encode("\n")
+        self.atoms: dict[str, tuple] = {}
+        self.old_atoms: dict[str, tuple] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -88,30 +96,63 @@ class Aligner:
         self.sizes = np.zeros((0, len(COUNTS)), np.int64)
         self.short = 0
 
-    def _ids_a(self, unit: str) -> memoryview:
-        raw = self.a._word(unit, self.a.space) if LETTERS_ONLY.fullmatch(unit) else self.a.encoded(" " + unit)
-        return memoryview(raw).cast("I")
-
-    def learn(self, units: list[str]) -> None:
-        """Align stretches, each with the space before it; one that does not come
-        back byte for byte gets no groups."""
-        sizes = []
-        for unit, ids_b in zip(units, self.b.encode(units, num_threads=1) if units else []):
-            ids_a, want = self._ids_a(unit).tolist(), (" " + unit).encode()
+    def _ids_a(self, atom: str) -> list[int]:
+        if LETTERS_ONLY.fullmatch(atom, 1) and atom[0] in " \n":
+            raw = self.a._word(atom[1:], self.a.space if atom[0] == " " else "")
+            raw = raw if atom[0] == " " else self.a.bare["\n"] + raw
+        else:
+            raw = self.a.encoded(atom)
+        return memoryview(raw).cast("I").tolist()
+
+    def _made(self, atoms: list[str]) -> Iterator[tuple[str, str, bytes, tuple]]:
+        """Groups, links and sizes of atoms; one that does not come back byte for
+        byte gets none.  B puts a space before what it is given: an atom that
+        begins with none is given behind a line end."""
+        spaced = [x[0] == " " for x in atoms]
+        given = [x[1:] if s else "\n" + x for x, s in zip(atoms, spaced)]
+        for atom, s, ids_b in zip(atoms, spaced, self.b.encode(given, num_threads=1) if given else []):
+            ids_b = ids_b if s else ids_b[len(self.line_end):]
+            ids_a, want = self._ids_a(atom), atom.encode()
             tokens_a, tokens_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-            keys, groups = [], []
             if b"".join(tokens_a) == want == b"".join(tokens_b):
                 keys, groups = linked(ids_a, ids_b, tokens_a, tokens_b)
+                yield (atom, ";".join(groups), array("Q", keys).tobytes(),
+                       (len(ids_a), len(ids_b), len(groups), len(keys)))
+            else:
+                yield atom, "", b"", (0, 0, 0, 0)
+
+    def learn(self, units: list[str]) -> None:
+        """Align stretches, each with the space before it."""
+        parts, sizes = [], []
+        for unit in units:
+            m = PLAIN.fullmatch(unit)
+            if m and len(unit) <= KEPT_CHARS:
+                word, marks, line, after, more = m.groups()
+                parts.append([x for x in (" " + word, marks, line and line + after, more) if x])
+            else:
+                parts.append(None)
+        if len(self.atoms) > KEPT_ATOMS:
+            self.atoms, self.old_atoms = {}, self.atoms
+        atoms, old = self.atoms, self.old_atoms
+        new = {x for p in parts if p for x in p if x not in atoms}
+        for x in new & old.keys():
+            atoms[x] = old[x]
+        for x, *made in self._made([x for x in new if x not in atoms]):
+            atoms[x] = made
+        rest = {x: made for x, *made in self._made([" " + u for u, p in zip(units, parts) if p is None])}
+        for unit, p in zip(units, parts):
+            made = [atoms[x] for x in p] if p else [rest[" " + unit]]
             self.places[unit] = len(self.groups)
-            self.groups.append(";".join(groups))
-            self.links.append(np.array(keys, np.uint64).tobytes())
-            sizes.append((len(ids_a), len(ids_b), len(groups), len(keys)))
+            self.groups.append(made[0][0] if len(made) == 1 else ";".join([m[0] for m in made]))
+            self.links.append(made[0][1] if len(made) == 1 else b"".join([m[1] for m in made]))
+            sizes.append(made[0][2] if len(made) == 1 else tuple(map(sum, zip(*[m[2] for m in made]))))
         self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64).reshape(-1, len(COUNTS))])
 
     def units(self, text: str) -> list[str]:
         """The text cut where neither vocabulary's tokens cross."""
         pieces = text.split(" ")
-        if all(map(sure, pieces)):
+        if (text.replace("\n", "").isprintable() and not {text[0], text[-1]} & {" ", "\n"}
+                and not any(x in text for x in ("  ", " \n", "\n "))):
             return pieces
         out = [pieces[0]]
         for before, piece in zip(pieces, pieces[1:]):
@@ -146,6 +187,8 @@ def linked(ids_a: list[int], ids_b: list[int], tokens_a: list[bytes], tokens_b:
     keys, groups = [], []
     i = j = from_a = from_b = 0
     end_a, end_b = len(tokens_a[0]), len(tokens_b[0])
+    if len(ids_a) == len(ids_b) == 1:
+        return [(ids_b[0] << ID_BITS | ids_a[0]) << PLACE_BITS], [f"{ids_a[0]}|{ids_b[0]}"]
     while True:
         keys.append((ids_b[j] << ID_BITS | ids_a[i]) << PLACE_BITS)
         step_a, step_b = end_a <= end_b, end_b <= end_a

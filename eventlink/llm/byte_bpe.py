@@ -31,13 +31,14 @@ import re
 import uuid
 from array import array
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Regex, Tokenizer
 from tokenizers.models import BPE
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
@@ -48,7 +49,10 @@ from .pieces import Held, Unsure, sure
 RANKS = "byte_bpe_50k.tiktoken"
 SLICE = 200
 #: Longer pieces are encoded each time, so that what a worker keeps has a bound in bytes.
-KEPT_CHARS = 64
+KEPT_CHARS, KEPT_WORDS, KEPT_PARTS = 64, 250_000, 50_000
+#: Letters that every Unicode version counts as such, and with which a text is plain.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(f"[\\x00-\\x7f{LETTERS}]*")
 
 
 def byte_chars() -> list[str]:
@@ -92,40 +96,45 @@ def library_model(ranks: dict[bytes, int], pattern: str) -> str:
     return made.to_str()
 
 
-def ascii_form(pattern: str) -> re.Pattern:
-    """The pattern for texts of ASCII alone."""
-    return re.compile(pattern.replace("[^\\s\\p{L}\\p{N}]", "[^\\sA-Za-z0-9]").replace("\\p{L}", "[A-Za-z]")
+def plain_form(pattern: str) -> re.Pattern:
+    """The pattern for plain texts."""
+    return re.compile(pattern.replace("[^\\s\\p{L}\\p{N}]", f"[^\\s{LETTERS}0-9]").replace("\\p{L}", f"[{LETTERS}]")
                       .replace("\\p{N}", "[0-9]"), re.ASCII)
 
 
-class Coder:
-    """Ids of texts and bytes of ids, for one worker process."""
+class Encoder:
+    """Ids of texts, for one worker process."""
 
     def __init__(self, model: str, pattern: str):
         self.library = Tokenizer.from_str(model)
-        vocab = json.loads(model)["model"]["vocab"]
-        of_char = {c: b for b, c in enumerate(byte_chars())}
-        self.chars = {chr(b): c for b, c in enumerate(byte_chars())}
-        self.bytes: list[bytes | None] = [None] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.bytes[i] = bytes([of_char[c] for c in token])
-        self.lengths = np.array([len(t or b"") for t in self.bytes], np.int64)
-        self.match = ascii_form(pattern).findall
-        self.parts = Held(self._part)
-        self.spaced = Held(self._spaced)
+        self.model = self.library.model
+        self.chars = dict(enumerate(byte_chars()))
+        self.match = plain_form(pattern).findall
+        self.parts = Held(self._part, KEPT_PARTS)
+        self.spaced = Held(self._spaced, KEPT_WORDS)
 
     def _part(self, part: str) -> bytes:
-        """One match of the pattern, ASCII, by the library's model alone."""
-        return array("I", [t.id for t in self.library.model.tokenize(
-            "".join([self.chars[c] for c in part]))]).tobytes()
+        """One match of the pattern by the library's model alone."""
+        spelled = part.encode().decode("latin-1").translate(self.chars)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
     def _of(self, text: str) -> bytes:
         """A stretch between cuts, with the space before it."""
-        if text.isascii():
-            return b"".join([self.parts[m] if len(m) <= KEPT_CHARS else self._part(m) for m in self.match(text)])
-        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if not PLAIN.fullmatch(text):
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        out = []
+        for m in self.match(text):
+            if len(m) > KEPT_CHARS or m == text:
+                out.append(self._part(m))
+            elif m[0] == " " and m[1:].isalpha():
+                out.append(self.spaced[m[1:]])
+            else:
+                out.append(self.parts[m])
+        return b"".join(out)
 
     def _spaced(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():  # most misses
+            return array("I", [t.id for t in self.model.tokenize(self.chars[32] + piece)]).tobytes()
         if not sure(piece):
             raise Unsure
         return self._of(" " + piece)
@@ -152,22 +161,35 @@ class Coder:
         except Unsure:
             return self._grouped(pieces) if text else b""
 
+
+class Decoder:
+    """Bytes of ids."""
+
+    def __init__(self, model: str, pattern: str):
+        vocab = json.loads(model)["model"]["vocab"]
+        of_char = {c: b for b, c in enumerate(byte_chars())}
+        self.bytes: list[bytes | None] = [None] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
+            self.bytes[i] = bytes([of_char[c] for c in token])
+        self.lengths = np.array([len(t or b"") for t in self.bytes], np.int64)
+
     def decode(self, ids: list[int]) -> bytes:
         try:
-            return b"".join(map(self.bytes.__getitem__, ids))
+            return b"".join([self.bytes[i] for i in ids])
         except (IndexError, TypeError):
             raise ValueError("an id is not in the vocabulary") from None
 
 
-_CODERS: dict = {}
+_HELD: dict = {}
 
 
-def _coder(mark: str, shared, pattern: str) -> Coder:
-    """A worker's coder, kept from task to task of the same run."""
-    if mark not in _CODERS:
-        _CODERS.clear()
-        _CODERS[mark] = Coder(shared.value, pattern)
-    return _CODERS[mark]
+def _worker(kind, mark: str, shared, pattern: str):
+    """A worker's encoder or decoder, kept from task to task of the same run."""
+    if (kind, mark) not in _HELD:
+        for key in [k for k in _HELD if k[1] != mark]:
+            del _HELD[key]
+        _HELD[kind, mark] = kind(shared.value, pattern)
+    return _HELD[kind, mark]
 
 
 def _list(ends: np.ndarray, values: np.ndarray) -> pa.Array:
@@ -189,64 +211,83 @@ def char_spans(texts: list[bytes], n: np.ndarray, lengths: np.ndarray) -> tuple[
     return ends - np.repeat(first, n), begun[starts] - 1 - base, begun[ends - 1] - base
 
 
+def encoded(b: pa.RecordBatch, encoder: Encoder, decoder: Decoder) -> pa.RecordBatch:
+    """doc_id, ids, byte_end, char_start, char_end of doc_id, text."""
+    texts = b.column("text").to_pylist()
+    made = [encoder.encode(x) for x in texts]
+    n = np.fromiter(map(len, made), np.int64, len(made)) // 4
+    ids, ends = np.frombuffer(b"".join(made), np.uint32), np.cumsum(n)
+    spans = char_spans([x.encode() for x in texts], n, decoder.lengths[ids])
+    return pa.RecordBatch.from_arrays([b.column("doc_id"), *[_list(ends, v.astype(np.int32)) for v in (ids, *spans)]],
+                                      ["doc_id", "ids", "byte_end", "char_start", "char_end"])
+
+
+def decoded(b: pa.RecordBatch, decoder: Decoder) -> pa.RecordBatch:
+    """doc_id, ids, bytes of doc_id, ids."""
+    raw = [decoder.decode(x or []) for x in b.column("ids").to_pylist()]
+    return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(raw, pa.binary())],
+                                      ["doc_id", "ids", "bytes"])
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, SLICE):
+            yield b.slice(lo, SLICE)
+
+
 class ByteBpe:
     """Encoder and decoder over DataFrames for one file of ranks."""
 
-    def __init__(self, spark, ranks_path: str | None = None, pattern: str | None = None):
-        self.pattern = pattern or public_tokenizers.PATTERN
-        self.shared = spark.sparkContext.broadcast(
-            library_model(read_ranks(ranks_path or public_tokenizers.path(RANKS)), self.pattern))
-        self.mark = uuid.uuid4().hex
+    def __init__(self, spark: SparkSession, ranks_path: str | None = None, pattern: str | None = None):
+        pattern = pattern or public_tokenizers.PATTERN
+        shared = spark.sparkContext.broadcast(
+            library_model(read_ranks(ranks_path or public_tokenizers.path(RANKS)), pattern))
+        mark = uuid.uuid4().hex
+        self.worker = lambda kind: _worker(kind, mark, shared, pattern)
 
     def encode(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """doc_id, ids, byte_end, char_start, char_end; the last three token by token."""
-        mark, shared, pattern = self.mark, self.shared, self.pattern
-        own = take_columns(docs, doc_id=id_col, text=text_col).select("doc_id", text_of("text").alias("text"))
+        worker, own = self.worker, texts_of(docs, id_col, text_col)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                coder = _coder(mark, shared, pattern)
-                for lo in range(0, b.num_rows, SLICE):
-                    few = b.slice(lo, SLICE)
-                    texts = few.column("text").to_pylist()
-                    made = [coder.encode(x) for x in texts]
-                    n = np.fromiter(map(len, made), np.int64, len(made)) // 4
-                    ids = np.frombuffer(b"".join(made), np.uint32)
-                    spans = char_spans([x.encode() for x in texts], n, coder.lengths[ids])
-                    ends = np.cumsum(n)
-                    yield pa.RecordBatch.from_arrays(
-                        [few.column("doc_id"), *[_list(ends, v.astype(np.int32)) for v in (ids, *spans)]],
-                        ["doc_id", "ids", "byte_end", "char_start", "char_end"])
+            for b in slices(batches):
+                yield encoded(b, worker(Encoder), worker(Decoder))
 
         lists = [StructField(c, ArrayType(IntegerType())) for c in ("ids", "byte_end", "char_start", "char_end")]
         return own.mapInArrow(run, StructType([own.schema["doc_id"], *lists]))
 
     def decode(self, tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
         """doc_id, ids, bytes, text."""
-        mark, shared, pattern = self.mark, self.shared, self.pattern
+        worker = self.worker
         own = take_columns(tokens, doc_id=id_col, ids=ids_col).select("doc_id", F.col("ids").cast("array<int>"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                coder = _coder(mark, shared, pattern)
-                for lo in range(0, b.num_rows, SLICE):
-                    few = b.slice(lo, SLICE)
-                    raw = [coder.decode(x or []) for x in few.column("ids").to_pylist()]
-                    yield pa.RecordBatch.from_arrays([few.column("doc_id"), few.column("ids"), pa.array(raw, pa.binary())],
-                                                     ["doc_id", "ids", "bytes"])
+            for b in slices(batches):
+                yield decoded(b, worker(Decoder))
 
         back = own.mapInArrow(run, StructType([own.schema["doc_id"], StructField("ids", ArrayType(IntegerType())),
                                                StructField("bytes", BinaryType())]))
         return back.withColumn("text", F.make_valid_utf8(F.col("bytes").cast("string")))
 
+    def round_trip(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """Encode and decode batch by batch, and the digests of both: doc_id,
+        n_tokens, ids_sha256 (of the decimal ids joined by a space), decoded_sha256
+        (of the decoded bytes)."""
+        worker, own = self.worker, texts_of(docs, id_col, text_col)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches):
+                back = decoded(encoded(b, worker(Encoder), worker(Decoder)), worker(Decoder))
+                ids = back.column("ids").to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [back.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
+                     pa.array([sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]),
+                     pa.array([sha256(x).hexdigest() for x in back.column("bytes").to_pylist()])],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+        digests = [StructField("n_tokens", LongType()), *[StructField(c, StringType()) for c in ("ids_sha256", "decoded_sha256")]]
+        return own.mapInArrow(run, StructType([own.schema["doc_id"], *digests]))
+
 
-def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """Encode, decode, and the digests of both: doc_id, n_tokens, ids_sha256 (of
-    the decimal ids joined by a space), decoded_sha256 (of the decoded bytes)."""
-    coder = ByteBpe(docs.sparkSession, ranks_path, pattern)
-    back = coder.decode(coder.encode(docs, id_col, text_col))
-    return back.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"))
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return take_columns(docs, doc_id=id_col, text=text_col).select("doc_id", text_of("text").alias("text"))

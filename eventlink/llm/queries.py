@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracles
 from .alignment import alignment
-from .byte_bpe import round_trip
+from .byte_bpe import ByteBpe
 from .common import table
 from .divergence import source_divergence
 from .host_quality import host_quality
@@ -70,7 +70,7 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(table(spark, sf_dir, "documents"))
+    return ByteBpe(spark).round_trip(table(spark, sf_dir, "documents"))
 
 
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
