@@ -166,3 +166,25 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dic
     return q.select(*[F.col(n).alias(g) for n, g in zip(names, groups)], F.col("_n").alias("n"),
                     *[(F.col(f"_lo{i}") + part[i] * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name)
                       for i, name in enumerate(probs)])
+
+
+def segmented_cumsum(df: DataFrame, by: Sequence[str], order: Sequence[str], values: Sequence[str],
+                     descending: bool = False, suffix: str = "_cum", total: str = "_total") -> DataFrame:
+    """Running sums of ``values`` in ``order`` that start anew in each group of
+    ``by``, and each group's whole sums.
+
+    One pass over all groups: the sums run through (by, order) as in
+    :func:`global_cumsum`, whose range partitions cut a large group over many
+    tasks, and a group's start (one row per group) is taken off again.  Null
+    group keys are a group."""
+    cum = global_cumsum(df, [*by, *order], values, descending, "_all")
+    names = {b: f"{b}_of" for b in by}
+    per = cum.groupBy(*[F.col(b).alias(n) for b, n in names.items()]).agg(
+        *[F.min(F.col(f"{v}_all") - F.col(v)).alias(f"{v}_start") for v in values],
+        *[F.sum(v).alias(f"{v}{total}") for v in values])
+    if by:
+        rows = cum.join(per, reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(n)) for b, n in names.items()]))
+    else:
+        rows = attach_scalars(cum, per)
+    return rows.select(*df.columns, *[(F.col(f"{v}_all") - F.col(f"{v}_start")).alias(f"{v}{suffix}") for v in values],
+                       *[f"{v}{total}" for v in values])
