@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import age_years, days_between, least_strict, stay_length
-from .ranks import numbered_rows, positioned
+from .ranks import numbered_rows, positioned, segmented_cumsum
 
 
 # Admission encounter types, and discharge statuses / dispositions
@@ -182,14 +182,19 @@ def running_stats(events: DataFrame, id: str = "patid", event: str = "encounteri
     """Per-person total of distinct event days (W7), running count in event
     order (W8).  ``count(distinct) over`` is not a Spark window, so the total is
     an aggregate joined back on the person key (partial aggregation first).
-    ``skew_safe=True`` (unit counter only) derives the running count from
-    global positions minus the person's first position."""
+    ``counter``: a column summed up in place of 1, null counting nothing.
+    ``skew_safe=True`` takes the running number from global positions minus the
+    person's first one, or for a counter from sums over all persons that start
+    anew at each (:func:`ranks.segmented_cumsum`): no window per person."""
     totals = events.groupBy(id).agg(F.countDistinct(start).alias("n_days_total"))
     if skew_safe and counter is None:
         out = sequence_index(events, id, event, start, "running_n", skew_safe=True)
+    elif skew_safe:
+        weighed = events.withColumn("_w", F.coalesce(F.col(counter), F.lit(0)).cast("bigint"))
+        out = segmented_cumsum(weighed, [id], [start, event], ["_w"]).withColumnRenamed("_w_cum", "running_n")
     else:
         w = Window.partitionBy(id).orderBy(F.col(start), F.col(event))
-        c = F.col(counter) if counter else F.lit(1)
+        c = F.coalesce(F.col(counter), F.lit(0)) if counter else F.lit(1)
         out = events.withColumn("running_n", F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
                                 .cast("bigint"))
     return out.join(totals, id, "left").select(*events.columns, "running_n", "n_days_total")

@@ -84,6 +84,13 @@ def drop_materialized(spark: SparkSession) -> int:
     return n
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the checkpoint folder, deleted with the stages."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the checkpoint folder and read it back.
 
@@ -92,9 +99,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     AQE exact sizes for the joins that follow.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer/inference pass
 
 

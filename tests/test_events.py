@@ -139,6 +139,8 @@ def test_skew_safe_linkage_equals_window_form_with_hot_person(spark):
     df = _events(spark, data).repartition(7)
     for fn in (lambda s: events.link_next_event(df, skew_safe=s),
                lambda s: events.running_stats(df, skew_safe=s),
+               lambda s: events.running_stats(df.withColumn("w", F.expr("if(encounterid % 4 = 0, null, encounterid % 7)")),
+                                              counter="w", skew_safe=s),
                lambda s: events.sequence_index(df, skew_safe=s),
                lambda s: events.merge_sources_relink({"a": df.filter("encounterid % 3 = 0"),
                                                       "b": df.filter("encounterid % 3 > 0")}, skew_safe=s)):

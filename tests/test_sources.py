@@ -1,11 +1,12 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from eventlink.operators import codes
-from eventlink.sources import append_conform, build_once, read_lookup
+from eventlink.sources import DeclaredTable, append_conform, build_once, read_lookup, read_sorted, write_sorted
 from tests.conftest import rows
 
 
@@ -77,3 +78,39 @@ def test_drop_materialized(spark):
     path = _WRITTEN[-1]
     assert drop_materialized(spark) >= 1 and not _WRITTEN
     assert not os.path.exists(path.replace("file:", ""))
+
+
+def test_declared_table_replaces_one_source(spark, tmp_path):
+    schema = StructType([StructField("a", LongType()), StructField("b", StringType())])
+    table = DeclaredTable(spark, f"file://{tmp_path}/t", schema)
+    first = spark.createDataFrame([(1, "x"), (2, None)], "A int, b string")
+    table.append("one", [first, first.select("A")])
+    table.append("two", [spark.createDataFrame([("5",)], "a string")])
+    both = lambda: sorted(map(str, [tuple(r) for r in table.read().collect()]))
+    want = sorted(map(str, [(1, "x", "one"), (2, None, "one"), (1, None, "one"), (2, None, "one"), (5, None, "two")]))
+    assert both() == want
+    table.append("one", [first, first.select("A")])
+    assert both() == want
+    table.append("one", [first.limit(1)])
+    assert both() == sorted(map(str, [(1, "x", "one"), (5, None, "two")]))
+    assert table.read().dtypes == [("a", "bigint"), ("b", "string"), ("source", "string")]
+    with pytest.raises(ValueError, match="partition"):
+        DeclaredTable(spark, f"file://{tmp_path}/u", StructType([StructField("source", StringType())]))
+
+
+def test_sorted_files(spark, tmp_path):
+    """A hot key is cut over parts; the manifest's bounds do not overlap."""
+    rows = [(7 if i % 3 else i, (i * 37) % 1000, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k long, v long, id long").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_sorted(df, f"file://{tmp_path}/s", ["k", F.desc("v"), "id"], ["k", "v"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = sorted((r.pos, r.k, r.v, r.id) for r in read_sorted(spark, f"file://{tmp_path}/s").collect())
+    assert [g[1:] for g in got] == sorted(rows, key=lambda r: (r[0], -r[1], r[2])) and [g[0] for g in got] == list(range(1, 1001))
+    parts = sorted((r["_part"], r["n"], r["before"], tuple(r["first"]), tuple(r["last"]))
+                   for r in spark.read.parquet(f"file://{tmp_path}/s/manifest").collect())
+    assert sum(p[1] for p in parts) == 1000 and len(parts) > 1
+    for a, b in zip(parts, parts[1:]):
+        assert a[2] + a[1] == b[2] and (a[4][0], -a[4][1]) <= (b[3][0], -b[3][1])
+    write_sorted(df.limit(0), f"file://{tmp_path}/e", ["k"], ["k"])
+    assert read_sorted(spark, f"file://{tmp_path}/e").count() == 0
