@@ -216,7 +216,7 @@ def stratified_band(scores: DataFrame, reps: int = 500, points: int = 25, by: Se
 
     groups = [*by, "_blk"]
     met = ranked.groupBy(*groups).cogroup(drawn.groupBy(*groups)).applyInPandas(reach, f"{keys}, rep long, g long, sens double")
-    met = met.groupBy(*by, "rep", "g").agg(F.max("sens").alias("sens"))
+    met = materialize(met.groupBy(*by, "rep", "g").agg(F.max("sens").alias("sens")), "band-points")
     # the best over all points at or above a specificity; the point before the first score is (spec 1, sens 0)
     grid = met.select(*by, "rep").distinct().withColumn("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint"))))
     grid = grid.withColumn("sens", F.lit(0.0)).unionByName(met)
