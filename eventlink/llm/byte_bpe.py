@@ -49,7 +49,7 @@ from .pieces import Held, Unsure, sure
 RANKS = "byte_bpe_50k.tiktoken"
 SLICE = 200
 #: Longer pieces are encoded each time, so that what a worker keeps has a bound in bytes.
-KEPT_CHARS, KEPT_WORDS, KEPT_PARTS = 64, 250_000, 50_000
+KEPT_CHARS, KEPT_WORDS, KEPT_PARTS = 64, 500_000, 50_000
 #: Letters that every Unicode version counts as such, and with which a text is plain.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 PLAIN = re.compile(f"[\\x00-\\x7f{LETTERS}]*")
@@ -172,6 +172,7 @@ class Decoder:
         for token, i in vocab.items():
             self.bytes[i] = bytes([of_char[c] for c in token])
         self.lengths = np.array([len(t or b"") for t in self.bytes], np.int64)
+        self.decimals = [str(i) for i in range(len(self.bytes))]
 
     def decode(self, ids: list[int]) -> bytes:
         try:
@@ -277,12 +278,13 @@ class ByteBpe:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in slices(batches):
-                back = decoded(encoded(b, worker(Encoder), worker(Decoder)), worker(Decoder))
-                ids = back.column("ids").to_pylist()
+                decoder = worker(Decoder)
+                ids = encoded(b, worker(Encoder), decoder).column("ids").to_pylist()
+                shown = [" ".join([decoder.decimals[i] for i in x]) for x in ids]
                 yield pa.RecordBatch.from_arrays(
-                    [back.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([sha256(" ".join(map(str, x)).encode()).hexdigest() for x in ids]),
-                     pa.array([sha256(x).hexdigest() for x in back.column("bytes").to_pylist()])],
+                    [b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
+                     pa.array([sha256(x.encode()).hexdigest() for x in shown]),
+                     pa.array([sha256(decoder.decode(x)).hexdigest() for x in ids])],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
         digests = [StructField("n_tokens", LongType()), *[StructField(c, StringType()) for c in ("ids_sha256", "decoded_sha256")]]
