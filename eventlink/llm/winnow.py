@@ -19,6 +19,7 @@ table gives an empty result; columns other than the named ones are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -96,8 +97,8 @@ def _window(words: list[bytes], start: int, length: int) -> str:
 
 
 def item_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """One row per window of every item: item_id, words (the item's, as one
-    line), length, h, win."""
+    """One row per window of every item: item_id, line (digest of the item's words
+    as one line), length, h, win."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -106,16 +107,15 @@ def item_windows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFram
                 if words:
                     length = min(WINDOW, len(words))
                     h = fingerprints(_hashes(words), length).view(np.int64)
-                    line = _window(words, 0, len(words))
+                    line = sha256(_window(words, 0, len(words)).encode()).hexdigest()
                     for k in range(0, len(h), ROWS):
                         part = h[k:k + ROWS]
-                        yield pd.DataFrame({"item_id": [item] * len(part), "words": line, "length": length, "h": part,
+                        yield pd.DataFrame({"item_id": [item] * len(part), "line": line, "length": length, "h": part,
                                             "win": [_window(words, k + i, length) for i in range(len(part))]})
 
     own = take_columns(benchmark, item_id=item_col, text=text_col)
     own = own.select(F.col("item_id").cast("string"), text_of("text").cast("binary").alias("raw"))
-    found = own.mapInPandas(run, "item_id string, words string, length int, h long, win string")
-    return found.withColumn("line", F.sha2("words", 256)).drop("words")
+    return own.mapInPandas(run, "item_id string, line string, length int, h long, win string")
 
 
 def _bitmap(windows: DataFrame) -> np.ndarray:

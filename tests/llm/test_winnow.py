@@ -97,3 +97,12 @@ def test_a_passage_in_every_row(spark, copies):
     rows = [(i, f"start{i} {passage} end{i}") for i in range(copies)]
     items = [(i, passage) for i in range(50)]
     assert fast(spark, rows, items) == slow(rows, items)
+
+
+def test_a_very_long_item(spark):
+    """An item of 20,000 words; its windows cost no more than its words."""
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(5000)}" for _ in range(20_000)]
+    items = [(1, " ".join(long)), (2, " ".join(long[:13])), (3, "short one")]
+    rows = [(1, " ".join(long[700:760])), (2, " ".join(long[:40]) + " a short one"), (3, " ".join(long[9000:9012])), (4, " ".join(long))]
+    assert fast(spark, rows, items) == slow(rows, items)
