@@ -1,16 +1,21 @@
 """Secret scans: fixed patterns, and strings that look random to two Markov models.
 
-Bigram models over the characters of keys are trained from the corpus itself.
-The fixed patterns label the samples: what they match are random strings, every
-run of eight or more such characters apart from them is an ordinary identifier (counted
-also in capitals, which running text seldom shows).  A uniform prior stands for
-random strings of any other alphabet.  All documents are counted; each task
-returns two tables of fixed size.  Twenty or more characters of a run that no
-pattern covers, also beside one that does, are a secret when the log-likelihood ratio of the two models
-exceeds ``threshold``.
-
-Defined cases: a null or empty text holds none, and stays as it is; repeated
-rows are each scanned; an empty table trains the prior alone and gives an empty
+Bigram models over the characters of keys are trained from labelled samples.
+Random strings are what the fixed patterns match in the corpus, in equal shares
+with a uniform model, which stands for keys of any other alphabet.  Ordinary
+identifiers are, in equal shares, the corpus's own runs of eight or more such
+characters that no pattern touches (also in capitals, which running text seldom
+shows) and a made sample of what code holds: common words joined in camel case,
+as constants, by signs and as paths, rulers of one sign, and the alphabet in
+order.  Shares, not counts, are mixed, so the models are alike at every size of
+the corpus.  All documents are counted; each task returns two tables of fixed
+size.  Twenty or more characters of a run that no pattern covers, also beside
+one that does, are a secret when the mean log-likelihood ratio of a pair of
+neighbours exceeds ``threshold``; the mean does not grow with the length.
+
+Defined cases: a null or empty text holds none, and stays as it is; a very long
+text is scanned whole, a run of any length gets one score; repeated rows are
+each scanned; an empty table trains on the made sample alone and gives an empty
 result; columns other than the named ones are ignored, or kept by
 :func:`redact`.
 """
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +50,24 @@ STATES = len(ALPHABET) + 1  # the last state is the end of a string
 CODES = np.full(256, STATES - 1, np.uint8)
 CODES[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(len(ALPHABET))
 LEAST = 20
-PRIOR = 5.0
-THRESHOLD = 12.0
+#: Share of the uniform model in the random and in the ordinary class.
+UNIFORM = (0.5, 0.02)
+THRESHOLD = 0.5
+RULER = 400
 MARK = "[SECRET]"
+#: Labelled sample: words that identifiers of code and paths are made of.
+WORDS = """abstract access account action active adapter address admin agent alias allow amount analysis append
+application argument array attribute audio background backup balance banner batch billing binary block border bottom
+bridge browser bucket buffer build button cache calendar callback cancel channel character checkout client cluster
+color column command comment common company compile complete component config connect content context control cookie
+counter country create currency current custom database default delete deploy detail device dialog directory display
+document domain download driver dynamic element email enable engine entity error event example exception execute
+expire export factory feature field filter folder footer format forward frame function gallery gateway generate global
+group handler hardware header height history identity image import include index initial insert install instance
+integer interface internal invoice item iterator journal keyboard kernel label language latest launch layout library
+license limit linux listener local location logger machine manager mapping market maximum member memory menu message
+method minimum mobile model module monitor mouse network notify number object observer offset option order output
+package""".split()
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, str]]:
@@ -112,15 +133,40 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return log_ratio(counts)
 
 
+def made_identifiers() -> list[str]:
+    """The made sample of ordinary strings."""
+    out = [sign * RULER for sign in ALPHABET]
+    out += [x * len(WORDS) for x in (string.ascii_uppercase, string.ascii_lowercase, string.digits)]
+    for step in (1, 7, 31, 64):
+        for i, first in enumerate(WORDS):
+            few = [first, WORDS[(i + step) % len(WORDS)], WORDS[(i + 3 * step) % len(WORDS)]]
+            titled = [w.capitalize() for w in few]
+            out += ["".join(titled), first + "".join(titled[1:]), "_".join(few).upper(), "_".join(few), "-".join(few),
+                    "/" + "/".join(few) + "/", "".join(titled) + str(i % 10), "_".join([*few, str(i)]),
+                    "/".join([*few[:2], "".join(titled)]), f"{1970 + i % 80}-{1 + i % 12:02}-{1 + i % 28:02}"]
+    return out
+
+
+def shares(counts: np.ndarray) -> np.ndarray:
+    """Share of each character behind each; uniform behind one that was not seen."""
+    total = counts.sum(axis=1, keepdims=True)
+    return np.where(total > 0, counts / np.maximum(total, 1), 1 / STATES)
+
+
 def log_ratio(counts: np.ndarray) -> np.ndarray:
-    rate = counts.reshape(2, STATES, STATES) + np.array([PRIOR, 0.5])[:, None, None]
-    logs = np.log(rate / rate.sum(axis=2, keepdims=True))
-    return (logs[0] - logs[1]).ravel()
+    """Of the pair counts of the corpus, random and ordinary."""
+    random, ordinary = (shares(x) for x in counts.reshape(2, STATES, STATES))
+    made = shares(pair_counts(made_identifiers()).reshape(STATES, STATES))
+    if not counts.reshape(2, -1)[1].any():
+        ordinary = made
+    models = [(1 - u) * x + u / STATES for x, u in zip((random, (ordinary + made) / 2), UNIFORM)]
+    return (np.log(models[0]) - np.log(models[1])).ravel()
 
 
 def score(text: str, ratio: np.ndarray) -> float:
+    """Mean log-likelihood ratio of the pairs of neighbours, ends included."""
     codes = CODES[np.frombuffer(f"\n{text}\n".encode("latin-1", "replace"), np.uint8)].astype(np.int64)
-    return float(ratio[codes[:-1] * STATES + codes[1:]].sum())
+    return float(ratio[codes[:-1] * STATES + codes[1:]].mean())
 
 
 def spans(text: str, ratio: np.ndarray, threshold: float = THRESHOLD) -> tuple[list, list]:
