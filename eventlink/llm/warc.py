@@ -50,12 +50,16 @@ def base32(hexdigest: Column) -> Column:
     return F.concat(*[four(k) for k in range(8)])
 
 
-def _record_id(page_id: Column) -> Column:
-    h = F.md5(F.concat(F.lit("page:"), page_id.cast("string")))
-    parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+def _urn(hexdigest: Column) -> Column:
+    parts = [F.substring(hexdigest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
+def _record_id(digest: Column, page_id: Column) -> Column:
+    """Name of the one response of a payload, from what its revisits know too."""
+    return _urn(F.md5(F.concat(F.lit("response:"), digest, F.lit(":"), page_id.cast("string"))))
+
+
 def _lines(*fields: tuple[str, Column]) -> Column:
     """Header lines; a field that is null is left out."""
     return F.concat(*[F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(BREAK)), F.lit(""))
@@ -65,17 +69,20 @@ def _lines(*fields: tuple[str, Column]) -> Column:
 def resolved(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
              min_bytes: int = 0) -> DataFrame:
     """page_id, url, payload, payload_bytes, digest (base32 SHA-1), refers_to
-    (the response's page_id for a revisit, else null)."""
+    (the response's page_id for a revisit, else null), single (of repeated
+    payloads: whether one row alone has that page_id)."""
     own = take_columns(pages, page_id=id_col, url=url_col, payload=payload_col)
     own = own.withColumn("payload", text_of("payload"))
     own = own.withColumns({"sha1": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
     headers = own.where(F.col("payload_bytes") >= min_bytes).select("sha1", "page_id")
-    copies = (headers.groupBy("sha1").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("original"))
-              .where("n > 1").select("sha1", "original"))
+    copies = (headers.groupBy("sha1", "page_id").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("sha1").agg(F.sum("n").alias("rows"), F.max("page_id").alias("original"),
+                                   (F.max_by("n", "page_id") == 1).alias("single"))
+              .where("rows > 1").select("sha1", "original", "single"))
     out = own.join(stage(copies, "copies"), "sha1", "left")
     revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
     return out.select("page_id", "url", "payload", "payload_bytes", base32(F.col("sha1")).alias("digest"),
-                      F.when(revisit, F.col("original")).alias("refers_to"))
+                      F.when(revisit, F.col("original")).alias("refers_to"), "single")
 
 
 def write_archives(records: DataFrame, folder: str) -> None:
@@ -86,11 +93,12 @@ def write_archives(records: DataFrame, folder: str) -> None:
     block = F.when(is_revisit, http).otherwise(F.concat(http, F.col("payload")))
     head = F.concat(F.lit(VERSION + BREAK), _lines(
         ("WARC-Type", F.when(is_revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        ("WARC-Record-ID", F.coalesce(_record_id(F.col("page_id")), F.lit(f"<urn:uuid:{uuid.UUID(int=0)}>"))),
+        ("WARC-Record-ID", F.when(F.col("single") & ~is_revisit, _record_id(F.col("digest"), F.col("page_id"))).otherwise(
+            F.concat(F.lit("<urn:uuid:"), F.expr("uuid()"), F.lit(">")))),
         ("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         ("WARC-Target-URI", F.regexp_replace("url", "[\\r\\n]+", "%0A")),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        ("WARC-Refers-To", F.when(is_revisit, _record_id(F.col("refers_to")))),
+        ("WARC-Refers-To", F.when(is_revisit & F.col("single"), _record_id(F.col("digest"), F.col("refers_to")))),
         ("WARC-Profile", F.when(is_revisit, F.lit(REVISIT_PROFILE))),
         ("X-Page-ID", F.col("page_id")),
         ("X-Refers-To-Page-ID", F.col("refers_to")),

@@ -1,6 +1,8 @@
 import base64
 import gzip
 import hashlib
+import re
+import uuid
 
 import duckdb
 import pytest
@@ -42,16 +44,25 @@ def test_archives_are_warc(spark, tmp_path):
     df = spark.createDataFrame(ROWS, PAGES)
     folder = f"file://{tmp_path}/warc"
     write_archives(resolved(df).repartition(3), folder)
-    found = []
+    found, ids, refers = [], {}, []
     for f in sorted((tmp_path / "warc").glob("*.gz")):
         data = gzip.decompress(f.read_bytes())
         for headers, block in parse(data.split(b"\n")[:-1]):
-            assert headers["WARC-Type"] in ("response", "revisit") and headers["WARC-Record-ID"].startswith("<urn:uuid:")
+            assert headers["WARC-Type"] in ("response", "revisit")
+            assert uuid.UUID(re.fullmatch("<urn:uuid:(.*)>", headers["WARC-Record-ID"])[1]).int
+            ids[headers["WARC-Record-ID"]] = headers
             assert block.startswith(b"HTTP/1.1 200 OK\r\n")
             if headers["WARC-Type"] == "revisit":
-                assert block.endswith(b"\r\n\r\n") and headers["WARC-Refers-To"] and headers["WARC-Profile"]
+                assert block.endswith(b"\r\n\r\n") and headers["WARC-Profile"]
+                refers.append(headers)
             found.append(headers["WARC-Type"])
     assert sorted(found) == sorted(x[3] for x in slow(ROWS))
+    assert len(ids) == len(found)  # pages without an id and repeated ids too
+    for headers in refers:  # two responses of page 10 hold "tie": neither is named
+        one = ids.get(headers.get("WARC-Refers-To"))
+        assert (one is None) == (headers["X-Refers-To-Page-ID"] == "10")
+        assert one is None or (one["WARC-Type"], one["X-Page-ID"], one["WARC-Payload-Digest"]) == (
+            "response", headers["X-Refers-To-Page-ID"], headers["WARC-Payload-Digest"])
     back = read_archives(spark, folder, with_payload=True).collect()
     pages = {p: (h or "").encode() for p, _, h in ROWS if p is not None}
     for r in back:
