@@ -8,12 +8,15 @@ labelled rows (``max_rows``, taken in the order of a hash of the id) from four
 of five folds; the terms are those of the sample that differ most between the
 classes (chi-square, up to ``TERMS`` of them) and, among these and the most
 frequent others, those that tell the classes apart only together with another
-term.  Scoring reads every whole text in parallel.
+term.  The labelled rows stay with Spark: the driver takes the counts of the
+places in either class and then, of each row, its places among the candidates.
+Scoring reads every whole text in parallel.
 
 Defined cases: a null or empty text has no term and scores by the bias; rows
 with a null id are scored and not held out; a document with several labels
-counts as toxic if any says so; repeated rows are each scored and train once;
-without any usable label every score is 0; columns other than the named ones
+counts as toxic if any says so; repeated rows are each scored and train once, of
+different texts of one id one trains; very long texts are read whole; without
+any usable label every score is 0; columns other than the named ones
 are ignored.
 """
 
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from .common import take_columns, text_of
+from .common import stage, take_columns, text_of
 
 DIMS = 1 << 18
 MAX_ROWS = 10_000
@@ -44,18 +47,24 @@ DECAY = 1e-4
 FOLDS = 5
 SEED = 7
 WORD = re.compile(r"[^\W_]+")
-HELD = 200_000
+HELD, HELD_CHARS = 200_000, 64
+
+
+def places_of(word: str) -> set[int]:
+    return {xxh32_intdigest(p) % DIMS for p in {word} | {f"{word[:k]}*" for k in (4, 5) if len(word) >= k}}
 
 
 class TermPlaces(dict):
     """Hashed places by word: the word itself and its leading letters.  Emptied
-    at its bound."""
+    at its bound; long words are never held."""
 
     def __missing__(self, word: str) -> tuple[int, ...]:
+        places = tuple(places_of(word))
+        if len(word) > HELD_CHARS:
+            return places
         if len(self) >= HELD:
             self.clear()
-        parts = {word} | {f"{word[:k]}*" for k in (4, 5) if len(word) >= k}
-        self[word] = places = tuple({xxh32_intdigest(p) % DIMS for p in parts})
+        self[word] = places
         return places
 
 
@@ -86,11 +95,15 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def chosen(lists: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
-    """The places whose presence differs most between the classes, and then those
-    that matter in a pair among them and the most frequent others."""
-    have = [np.bincount(np.concatenate([x for x, t in zip(lists, y) if t == c] or [np.empty(0, np.int64)]),
-                        minlength=DIMS).astype(float) for c in (0, 1)]
+def class_counts(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Rows of either class that hold each place."""
+    return np.stack([np.bincount(np.concatenate([x for x, t in zip(lists, y) if t == c] or [np.empty(0, np.int64)]),
+                                 minlength=DIMS) for c in (0, 1)]).astype(float)
+
+
+def candidates(have: np.ndarray, y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places whose presence differs most between the classes, and these with
+    the most frequent others."""
     n0, n1 = float((y == 0).sum()), float((y == 1).sum())
     total, n = have[0] + have[1], n0 + n1
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -100,7 +113,14 @@ def chosen(lists: list[np.ndarray], y: np.ndarray, most: int) -> np.ndarray:
     best = best[chi[best] > MIN_CHI]
     total[best] = 0
     rest = np.argsort(-total, kind="stable")[:most - len(best)]
-    pool = np.concatenate([best, rest[total[rest] >= 2 * LEAST_ROWS]])
+    return best, np.concatenate([best, rest[total[rest] >= 2 * LEAST_ROWS]])
+
+
+def chosen(lists: list[np.ndarray], y: np.ndarray, most: int, have: np.ndarray | None = None) -> np.ndarray:
+    """The places whose presence differs most between the classes, and then those
+    that matter in a pair among them and the most frequent others.  ``have``: the
+    class counts, if ``lists`` are cut to the candidates."""
+    best, pool = candidates(class_counts(lists, y) if have is None else have, y, most)
     found = paired(lists, y, pool)
     return np.concatenate([best, found[~np.isin(found, best)]])
 
@@ -141,9 +161,10 @@ def paired(lists: list[np.ndarray], y: np.ndarray, places: np.ndarray) -> np.nda
     return places[order[strength[order] > NormalDist().inv_cdf(1 - CHANCE / k ** 2)]]
 
 
-def fit(lists: list[np.ndarray], y: np.ndarray, most: int = TERMS, factors: int = FACTORS, epochs: int = EPOCHS) -> Machine:
+def fit(lists: list[np.ndarray], y: np.ndarray, most: int = TERMS, factors: int = FACTORS, epochs: int = EPOCHS,
+        have: np.ndarray | None = None) -> Machine:
     """Logistic loss, Adagrad over batches, weight decay; the same for the same rows."""
-    places = chosen(lists, y, most)
+    places = chosen(lists, y, most, have)
     at = np.full(DIMS, -1)
     at[places] = np.arange(len(places))
     rows = [(r := at[x])[r >= 0] for x in lists]
@@ -190,11 +211,26 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Machi
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = picked.mapInPandas(run, f"doc_id {kind}, toxic int, terms array<int>")
-    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms")).orderBy("doc_id").collect()
-    y = np.array([r["toxic"] for r in rows])
+    rows = stage(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms")), "labelled-terms")
+    labels_only = rows.orderBy("doc_id").select("toxic").toArrow()  # max_rows labels
+    y = labels_only["toxic"].to_numpy()
     if not len(y) or y.min() == y.max():
         return None
-    return fit([np.array(r["terms"], np.int64) for r in rows], y)
+    sums = rows.select("toxic", F.explode("terms").alias("place")).groupBy("toxic", "place").agg(
+        F.count(F.lit(1)).alias("n")).toArrow()  # 2 * DIMS rows at most
+    have = np.zeros((2, DIMS))
+    have[sums["toxic"].to_numpy(), sums["place"].to_numpy()] = sums["n"].to_numpy()
+    pool = candidates(have, y, TERMS)[1]
+
+    @F.pandas_udf("array<int>")
+    def cut(lists: pd.Series) -> pd.Series:
+        return lists.map(lambda x: x[np.isin(x, pool)])
+
+    # of each row its places among TERMS candidates
+    kept = rows.select("doc_id", cut("terms").alias("terms")).orderBy("doc_id").select("terms")
+    kept = kept.toArrow()["terms"].combine_chunks()
+    ends, flat = kept.offsets.to_numpy(), kept.values.to_numpy()
+    return fit([flat[i:j].astype(np.int64) for i, j in zip(ends[:-1], ends[1:])], y, have=have)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -219,17 +255,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 class Active(dict):
-    """The model's places by word, empty for most words.  Emptied at its bound."""
+    """The model's places by word, empty for most words.  Emptied at its bound;
+    long words are never held."""
 
     def __init__(self, model: Machine):
         super().__init__()
         self.known = model.row
 
     def __missing__(self, word: str) -> tuple[int, ...]:
+        found = tuple(p for p in places_of(word) if p in self.known)
+        if len(word) > HELD_CHARS:
+            return found
         if len(self) >= HELD:
             self.clear()
-        parts = {word} | {f"{word[:k]}*" for k in (4, 5) if len(word) >= k}
-        self[word] = found = tuple(p for p in {xxh32_intdigest(x) % DIMS for x in parts} if p in self.known)
+        self[word] = found
         return found
 
     def places(self, text: str) -> list[int]:

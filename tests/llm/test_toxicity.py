@@ -84,6 +84,29 @@ def test_held_out_labels_are_never_read(spark):
     assert scores[0] == scores[1]
 
 
+def test_scores_equal_brute_force(spark):
+    """The fit on whole term lists, and every pair of a text's terms on its own."""
+    rng = random.Random(3)
+    extra = [(10**6, " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(20_000)) + " idiot"), (10**6 + 1, "")]
+    sf = "/root/testdata/sf0.01"
+    df = table(spark, "documents", sf).select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    labels = table(spark, "labels", sf).select("doc_id", "toxic").union(
+        spark.createDataFrame([(10**6, 1), (10**6 + 1, 0)], "doc_id long, toxic int"))
+    text = {r["doc_id"]: r["text"] or "" for r in df.collect()}
+    truth = {}
+    for r in labels.collect():
+        if r["toxic"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            truth[r["doc_id"]] = max(r["toxic"], truth.get(r["doc_id"], 0))
+    ids = sorted(set(truth) & set(text))
+    model = fit([np.array(terms(text[i]), np.int64) for i in ids], np.array([truth[i] for i in ids]))
+    assert len(model.row) > 20
+    for r in toxicity(df, labels).collect():
+        rows = [model.row[p] for p in terms(text[r["doc_id"]]) if p in model.row]
+        z = model.bias + sum(model.weights[a] for a in rows)
+        z += sum(model.factors[a] @ model.factors[b] for k, a in enumerate(rows) for b in rows[:k])
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-9
+
+
 def test_active_places_are_the_model_s(spark):
     model = train(table(spark, "documents").select("doc_id", "text"), table(spark, "labels").select("doc_id", "toxic"))
     active = Active(model)
