@@ -36,14 +36,17 @@ FILTER_BITS = 24
 #: A-Z lower-cased, every other byte that no word holds to a space.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 ROWS = 50_000
-WORDS_HELD = 500_000
+WORDS_HELD, BYTES_HELD = 500_000, 64
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
-    """Hash by word; emptied when it holds more words than its bound."""
+    """Hash by word; emptied when it holds more words than its bound.  Long words
+    are never held."""
 
     def __missing__(self, word: bytes) -> int:
+        if len(word) > BYTES_HELD:
+            return xxh64_intdigest(word)
         if len(self) >= WORDS_HELD:
             self.clear()
         self[word] = h = xxh64_intdigest(word)
