@@ -7,8 +7,8 @@ text are the ids of the pieces, one after the other.  Pieces next to any other
 white space, control or format character stay together and go to the library as
 they are.  The library encodes every piece that is not held: a word of plain
 letters, which normalizer and pre-tokenizer leave in one part, by its model
-alone, all else by the whole of it.  A worker holds pieces up to a bound, the
-recent ones longest.
+alone, all else by the whole of it.  A worker holds pieces of up to 64 characters up to a
+bound, the recent ones longest.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 HELD = 300_000
+#: Longer pieces (unspaced scripts, packed code) are never held.
+HELD_CHARS = 64
 #: Letters that every Unicode version counts as such, and marks that form one
 #: pre-token between letters.
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
@@ -37,13 +39,16 @@ class Unsure(Exception):
 class Held(dict):
     """``make(key)`` by key.  At the bound the younger generation becomes the
     older one, and what the older one held unused is forgotten; ``fixed``
-    entries stay."""
+    entries stay.  Long keys are made anew each time, so that the bound on
+    entries is one on bytes."""
 
     def __init__(self, make: Callable, bound: int = HELD, fixed: dict | None = None):
         super().__init__(fixed or {})
         self.make, self.bound, self.fixed, self.old = make, bound + len(self), fixed or {}, {}
 
     def __missing__(self, key):
+        if isinstance(key, str) and len(key) > HELD_CHARS:
+            return self.make(key)
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)

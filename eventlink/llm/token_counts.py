@@ -39,10 +39,10 @@ def frequent(own: DataFrame, table: int = TABLE) -> list[str]:
         seen: Counter[str] = Counter()
         for b in batches:
             for text in b["text"]:
-                seen.update(text.split(" "))
+                seen.update([x for x in text.split(" ") if len(x) <= PIECE_CHARS])
                 if len(seen) > 2 * COUNTED:
                     seen = Counter(dict(seen.most_common(COUNTED)))
-        best = [(k, n) for k, n in seen.most_common(SUMMARY) if len(k) <= PIECE_CHARS and sure(k)]
+        best = [(k, n) for k, n in seen.most_common(SUMMARY) if sure(k)]
         yield pd.DataFrame(best, columns=["piece", "n"])
 
     sums = own.select("text").mapInPandas(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))

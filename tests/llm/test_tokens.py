@@ -62,6 +62,13 @@ def test_pieces_between_all_characters(path, glued):
         assert fast.of(text) == packed(t.encode(text, add_special_tokens=False).ids)
 
 
+def test_long_pieces_are_not_held():
+    made = []
+    held = Held(lambda k: made.append(k) or len(k))
+    assert [held[k] for k in ("a" * 64, "a" * 64, "b" * 65, "b" * 65)] == [64, 64, 65, 65]
+    assert len(made) == 3 and list(held) == ["a" * 64]
+
+
 def test_held_forgets_only_at_its_bound():
     made = []
     held = Held(lambda k: made.append(k) or k * 2, bound=3, fixed={7: 14})
