@@ -97,6 +97,46 @@ def attach_area(people: DataFrame, tables: Mapping[str, DataFrame], selection: S
     return union_all(arms)
 
 
+def attach_areas(people: DataFrame, tables: Mapping[tuple[str, str], DataFrame],
+                 selection: Mapping[tuple[str, str], Selection], id: str = "patid", geo_key: str = "block_group",
+                 geocode: str = "geocode", min_len: int = 10, extra_keys: Sequence[str] = ("geo_accuracy",),
+                 skip_like: Sequence[str] = (), dry_run: bool = False) -> DataFrame:
+    """Area attributes of many tables at their own code levels (C12, R5: several
+    tables, each with its own selection, and keys that are carried along).
+
+    ``tables`` and ``selection`` are keyed by (schema, table), as the catalog and
+    the selection list are; ``src`` is the schema.  A table without one of
+    ``extra_keys`` gives null there.  The selected values of an area row stay in
+    one array until the end, so that all tables meet the codes in one join of a
+    row per area, and persons meet a row per area of their block group rather
+    than one per variable.  The codes are the prefixes of *distinct* block
+    groups, ``min_len`` to 12 characters, at most three each.  Persons without a
+    block group, nulls and tables without a selected column give no rows.
+    Output: ``(id, geocode, *extra_keys, var, val, type, src)``.
+    """
+    key_cols = [geocode, *extra_keys]
+    plan = [(name, type_, cols) for name, df in tables.items()
+            for _, type_, cols in column_plan({name[1]: df}, selection.get(name, {}), key_cols, skip_like)]
+    if dry_run:
+        return _dry_run_frame(people.sparkSession, [(".".join(n), t, c) for n, t, c in plan])
+    arms = []
+    for name, types in _by_table(plan).items():
+        t = tables[name]
+        held = [F.when(F.col(c).isNotNull(), F.struct(F.lit(c.upper()).alias("var"), F.col(c).cast("string").alias("val"),
+                                                      F.lit(kind).alias("type"))) for c, kind in types.items()]
+        extra = [(F.col(k).cast("string") if k in t.columns else F.lit(None).cast("string")).alias(k) for k in extra_keys]
+        arms.append(t.filter(F.length(geocode) >= min_len)
+                    .select(geocode, *extra, F.lit(name[0]).alias("src"), F.array_compact(F.array(*held)).alias("held")))
+    if not arms:
+        raise ValueError("no table has a selected column")
+    p = people.select(id, geo_key).filter(F.length(geo_key) >= min_len)
+    prefixes = F.expr(f"transform(sequence({int(min_len)}, length(`{geo_key}`)), n -> substring(`{geo_key}`, 1, n))")
+    codes = p.select(geo_key).distinct().select(geo_key, F.explode(prefixes).alias(geocode))
+    return (p.join(codes.join(union_all(arms), geocode), geo_key)
+            .select(id, *key_cols, "src", F.explode("held").alias("one"))
+            .select(id, *key_cols, "one.var", "one.val", "one.type", "src"))
+
+
 def attach_person(people: DataFrame, tables: Mapping[str, DataFrame], selection: Selection,
                   key: str = "ctx_id", id: str = "patid", skip_like: Sequence[str] = ("%_PREC",),
                   src: str | None = None, dry_run: bool = False) -> DataFrame:

@@ -226,30 +226,56 @@ def leakage_check(split: DataFrame, group: str, side: str) -> DataFrame:
 
 # -- encoder, shadow, sparse rows (M4-M6, R9, U6) ----------------------------
 
-def _entries(dictionary: DataFrame) -> DataFrame:
-    """One entry per name; of several, the first by label and domain."""
-    return dictionary.groupBy(F.col("var").alias("key")).agg(
-        F.min(F.struct(F.col("var_label").isNull().alias("none"), "var_label", "var_domain")).alias("entry"))
+RELATIONSHIPS = ("many-to-one", "many-to-many")
+
+
+def join_names(rows: DataFrame, names: DataFrame, on: str, relationship: str = "many-to-one",
+               how: str = "inner") -> DataFrame:
+    """Rows with the entries of their name (J21), ``how`` inner or left.
+
+    ``many-to-one``: a row that meets several entries ends the query with the
+    name in the error; the check is part of the plan, runs in the tasks that
+    join, and leaves entries alone that no row asks for.  ``many-to-many`` opts
+    out: every match is a row.  A null name meets nothing.  Columns of ``names``
+    must not be columns of ``rows``, but for ``on``."""
+    if relationship not in RELATIONSHIPS or how not in ("inner", "left"):
+        raise ValueError(f"relationship {relationship!r}, how {how!r}")
+    if relationship == "many-to-many":
+        return rows.join(names, on, how)
+    others = [c for c in names.columns if c != on]
+    found = names.groupBy(F.col(on).alias("_on")).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*others)).alias("_one"))
+    met = rows.join(found, F.col(on) == F.col("_on"), how)
+    # never true; not deterministic, so the optimizer does not copy the check to names that no row asks for
+    here = F.spark_partition_id() < 0
+    once = F.assert_true((F.coalesce("_n", F.lit(1)) == 1) | here,
+                         F.concat(F.lit("several entries for "), F.col(on).cast("string")))
+    return met.filter(once.isNull()).select(*[F.col(c) for c in rows.columns], *[F.col("_one")[c].alias(c) for c in others])
 
 
 def variable_encoder(names: DataFrame, dictionary: DataFrame, strip_prefix: str = r"^(DRG_REGRP_DRG_)+",
                      retry_prefix: str = r"^(P_|H_)", domain_rules: Sequence[tuple[str, str]] = (),
-                     default_type: str = "s_sdh", var: str = "var") -> DataFrame:
+                     default_type: str = "s_sdh", var: str = "var", relationship: str = "many-to-one") -> DataFrame:
     """Distinct variable names -> ``V1..Vn`` ids, dictionary label and domain
-    (M4: W13 J22).
+    (M4: W13 J21 J22).
 
     A name has two dictionary keys: itself without ``strip_prefix``, then
     itself, without its last ``_suffix`` if it matches ``retry_prefix``.  Both
     keys are looked up in one join, and the first key with
-    a label gives label and domain.  ``domain_rules`` = [(regex on domain,
+    a label gives label and domain.  Different entries of one key end the query;
+    with ``relationship="many-to-many"`` each is a row, with the same id (see
+    :func:`join_names`).  ``domain_rules`` = [(regex on domain,
     type)], first match wins; no domain -> ``base``."""
     coded = numbered_keys(names.select(F.col(var).alias("name")), ["name"], "number")
     retry = F.when(F.col("name").rlike(retry_prefix), F.regexp_replace("name", r"_[^_]*$", ""))
     wanted = F.array(F.regexp_replace("name", strip_prefix, ""), F.coalesce(retry, "name"))
-    keyed = coded.select("name", "number", F.posexplode(wanted).alias("turn", "key"))
-    found = keyed.join(_entries(dictionary), "key", "left")
-    hit = F.when(F.col("entry.var_label").isNotNull(), F.struct("turn", "entry"))
-    best = found.groupBy("name", "number").agg(F.min(hit)["entry"].alias("entry"))
+    keyed = coded.select("name", F.posexplode(wanted).alias("turn", "key"))
+    entries = (dictionary.filter(F.col("var_label").isNotNull())
+               .select(F.col("var").alias("key"), "var_label", "var_domain").distinct())
+    found = join_names(keyed, entries, "key", relationship)
+    first = found.groupBy(F.col("name").alias("_of")).agg(F.min("turn").alias("_turn"))
+    hits = (found.join(first, (F.col("name") == F.col("_of")) & (F.col("turn") == F.col("_turn")), "left_semi")
+            .select("name", F.struct("var_label", "var_domain").alias("entry")))
+    best = coded.join(hits, "name", "left")
     domain, label = F.col("entry.var_domain"), F.col("entry.var_label")
     kind = F.when(domain.isNull(), F.lit("base"))
     for pattern, type_ in domain_rules:
@@ -271,7 +297,8 @@ def sparse_rows(long: DataFrame, encoder: DataFrame, row: str = "rowid", var: st
     """Long features -> one sparse row per id: sorted 0-based indices and
     values (R9).  Each row's list is bounded by the number of variables, not
     by the data size.  ``to_vectors`` turns it into ``pyspark.ml`` vectors."""
-    idx = encoder.select(var, (F.regexp_replace("var3", "^V", "").cast("int") - 1).alias("_i"))
+    # a name with several entries has one id
+    idx = encoder.select(var, (F.regexp_replace("var3", "^V", "").cast("int") - 1).alias("_i")).distinct()
     j = long.join(idx, var)
     g = j.groupBy(row).agg(F.array_sort(F.collect_list(F.struct(F.col("_i").alias("i"), F.col(val).alias("v"))))
                            .alias("_e"))

@@ -25,6 +25,16 @@ DRG_MIN_SHARE = 0.01
 
 # Variable selections (column -> C categorical / N numeric).
 AREA_SELECTION = {"AREA_CLASS": "C", "AREA_RANK": "N", "AREA_SHARE": "N"}
+# Several area tables by (schema, table): the fixture view and its selection.
+AREA_TABLES = {
+    ("ACS", "ACS_2019"): ("fx_acs", {"MED_INCOME": "N", "PCT_POV": "N"}),
+    ("ADI", "ADI_2020"): ("fx_adi", {"ADI_NATRANK": "C", "ADI_STATERNK": "N"}),
+    ("FARA", "FARA_2019"): ("fx_fara", {"LILA_FLAG": "C"}),
+    ("MUA", "MUA_MO"): ("fx_mua", {"MUA_TYPE": "C"}),
+    ("RUCA", "RUCA_2010"): ("fx_ruca", {"RUCA1": "C", "RUCA2": "N"}),
+    ("SLD", "SLD_2021"): ("fx_sld", {"WALK_INDEX": "N"}),
+    ("SVI", "SVI_CT_2020"): ("fx_svi", {"EP_POV": "N", "PCT_POV": "N"}),
+}
 PERSON_SELECTION = {"H_SEGMENT": "C", "H_OWN_RENT": "C", "H_FLAG": "C", "H_LENGTH": "N", "H_VALUE": "N",
                     "H_OWN_PREC": "C"}
 BASE_CATEGORICAL = ["discharge_status", "sex", "race", "hispanic", "cci_class", "drg_regrp"]
@@ -151,6 +161,23 @@ class Pipeline:
     def person_num(self) -> DataFrame:
         return attributes.encode_long(self.person_long, id="patid").unionByName(self.flags)
 
+    # The same for the persons with an eligible event alone.
+    @cached_property
+    def eligible_persons(self) -> DataFrame:
+        return self.fx.fx_crosswalk.join(self.eligible.select("patid"), "patid", "left_semi")
+
+    @cached_property
+    def eligible_areas(self) -> DataFrame:
+        people = self.eligible_persons.join(self.fx.fx_person_geo, "ctx_id").select("patid", "block_group")
+        return attributes.attach_areas(people, {k: self.fx.get(view) for k, (view, _) in AREA_TABLES.items()},
+                                       {k: chosen for k, (_, chosen) in AREA_TABLES.items()})
+
+    @cached_property
+    def eligible_person_num(self) -> DataFrame:
+        long = attributes.attach_person(self.eligible_persons, {"PERSON": self.fx.fx_person_attr}, PERSON_SELECTION)
+        flags = attributes.flag_attributes(self.eligible, self.fx.fx_coverage, coverage_flags())
+        return attributes.encode_long(long, id="patid").unionByName(flags)
+
     # -- C10 / C15 / M12 ------------------------------------------------------
     @cached_property
     def history(self) -> DataFrame:

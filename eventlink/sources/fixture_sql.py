@@ -67,6 +67,28 @@ SELECT ctx_id, '29' || LPAD(CAST(ctx_id % 9 AS STRING), 3, '0') || LPAD(CAST(ctx
 SELECT geocode, CASE WHEN CAST(SUBSTR(geocode, 6, 6) AS INT) % 5 = 0 THEN NULL ELSE 'c' || CAST(CAST(SUBSTR(geocode, 6, 6) AS INT) % 3 AS STRING) END AS area_class, LPAD(CAST(CAST(SUBSTR(geocode, 6, 6) AS INT) AS STRING), 4, '0') AS area_rank, CASE WHEN CAST(SUBSTR(geocode, 6, 6) AS INT) % 4 = 0 THEN '-999' WHEN CAST(SUBSTR(geocode, 6, 6) AS INT) % 4 = 1 THEN '0.5' ELSE '12.4' END AS area_share
 FROM (SELECT DISTINCT SUBSTR(block_group, 1, 11) AS geocode FROM fx_person_geo UNION SELECT DISTINCT block_group FROM fx_person_geo WHERE block_group LIKE '%3') t
 UNION ALL SELECT DISTINCT SUBSTR(block_group, 1, 5), 'county', '0001', '1' FROM fx_person_geo
+""",
+    "fx_acs": """
+SELECT geocode, CASE WHEN n % 2 = 0 THEN 'BG' ELSE 'CT' END AS geo_accuracy, 20000 + n * 100 AS med_income, CASE WHEN n % 4 = 0 THEN NULL ELSE n % 10 END AS pct_pov, 'x' AS note FROM (SELECT DISTINCT block_group AS geocode, CAST(SUBSTR(block_group, 6, 6) AS INT) + CAST(SUBSTR(block_group, 12, 1) AS INT) AS n FROM fx_person_geo) t
+""",
+    "fx_adi": """
+SELECT geocode, CASE WHEN n % 7 = 0 THEN 'GQ' ELSE LPAD(CAST(n AS STRING), 4, '0') END AS adi_natrank, n % 10 AS adi_staternk FROM (SELECT DISTINCT block_group AS geocode, CAST(SUBSTR(block_group, 6, 6) AS INT) + CAST(SUBSTR(block_group, 12, 1) AS INT) AS n FROM fx_person_geo) t
+""",
+    "fx_fara": """
+SELECT geocode, CAST(n % 2 AS STRING) AS lila_flag, n % 13 AS pct_pov FROM (SELECT DISTINCT SUBSTR(block_group, 1, 11) AS geocode, CAST(SUBSTR(block_group, 6, 6) AS INT) AS n FROM fx_person_geo) t
+""",
+    "fx_mua": """
+SELECT geocode, 'CT' AS geo_accuracy, CASE n % 3 WHEN 0 THEN NULL WHEN 1 THEN 'P' ELSE 'A' END AS mua_type FROM (SELECT DISTINCT SUBSTR(block_group, 1, 11) AS geocode, CAST(SUBSTR(block_group, 6, 6) AS INT) AS n FROM fx_person_geo) t
+UNION ALL SELECT DISTINCT SUBSTR(block_group, 1, 5), 'CTY', 'C' FROM fx_person_geo
+""",
+    "fx_ruca": """
+SELECT geocode, 1 + n % 10 AS ruca1, CASE WHEN n % 5 = 0 THEN '10.2' ELSE '1.0' END AS ruca2 FROM (SELECT DISTINCT SUBSTR(block_group, 1, 11) AS geocode, CAST(SUBSTR(block_group, 6, 6) AS INT) AS n FROM fx_person_geo) t
+""",
+    "fx_sld": """
+SELECT geocode, CASE WHEN n % 6 = 0 THEN '-99999' ELSE CAST(n % 20 AS STRING) || '.5' END AS walk_index FROM (SELECT DISTINCT block_group AS geocode, CAST(SUBSTR(block_group, 6, 6) AS INT) + CAST(SUBSTR(block_group, 12, 1) AS INT) AS n FROM fx_person_geo) t
+""",
+    "fx_svi": """
+SELECT geocode, n % 100 AS ep_pov, CASE WHEN n % 8 = 0 THEN NULL ELSE n % 30 END AS pct_pov, 'y' AS ep_prec FROM (SELECT DISTINCT SUBSTR(block_group, 1, 11) AS geocode, CAST(SUBSTR(block_group, 6, 6) AS INT) AS n FROM fx_person_geo) t
 """,
     "fx_person_attr": """
 SELECT c_custkey + 1000000 AS ctx_id, c_mktsegment AS h_segment, CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN 'R' ELSE 'O' END AS h_own_rent, CASE WHEN c_custkey % 9 = 0 THEN '1' ELSE NULL END AS h_flag, LPAD(CAST(c_custkey % 16 AS STRING), 2, '0') AS h_length, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(CAST(ROUND(c_acctbal) AS INT) AS STRING) END AS h_value, 'X' AS h_own_prec FROM customer
