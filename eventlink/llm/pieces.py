@@ -21,7 +21,7 @@ from functools import lru_cache
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-HELD = 300_000
+HELD = 400_000
 #: Longer pieces (unspaced scripts, packed code) are never held.
 HELD_CHARS = 64
 #: Letters that every Unicode version counts as such, and marks that form one
@@ -40,11 +40,12 @@ class Held(dict):
     """``make(key)`` by key.  At the bound the younger generation becomes the
     older one, and what the older one held unused is forgotten; ``fixed``
     entries stay.  Long keys are made anew each time, so that the bound on
-    entries is one on bytes."""
+    entries is one on bytes; so is a key whose ``make`` sets ``once``."""
 
     def __init__(self, make: Callable, bound: int = HELD, fixed: dict | None = None):
         super().__init__(fixed or {})
         self.make, self.bound, self.fixed, self.old = make, bound + len(self), fixed or {}, {}
+        self.once = False
 
     def __missing__(self, key):
         if isinstance(key, str) and len(key) > HELD_CHARS:
@@ -52,6 +53,9 @@ class Held(dict):
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
+            if self.once:
+                self.once = False
+                return value
         if len(self) >= self.bound:
             self.old = dict(self)
             self.clear()
@@ -96,9 +100,12 @@ class Pieces:
             return self.encoded(" " + piece if self.glued else piece)
         if not m[2] and not m[3]:
             return self._word(piece, self.space)
+        new = m[1] not in self.spaced
         value = self.spaced[m[1]] + (self.bare[m[2]] if m[2] else self.none)
         if m[3]:
             value += self.bare["\n"] + self.bare[m[4]] + (self.bare[m[5]] if m[5] else self.none)
+        # around a word met for the first time, or a pair of words, the piece is likely as rare: its parts are held
+        self.spaced.once = new or m[3] is not None
         return value
 
     def _bare(self, piece: str):
