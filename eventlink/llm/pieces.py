@@ -78,9 +78,10 @@ class Pieces:
         self.library.no_truncation()
         self.glued, self.counts, self.model = glued, counts, self.library.model
         self.none = 0 if counts else b""
-        # how the model spells each letter's bytes, and the space before a word
+        # how the model spells each letter's bytes, and the space before a word; a table
+        # that lacks a letter of the word costs more than one that has it
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.spelled = {c: spell(chr(c))[0][0] for c in range(192, 256)}
+        self.spelled = {c: spell(chr(c))[0][0] for c in [*range(65, 91), *range(97, 123), *range(192, 256)]}
         self.space = spell(" ")[0][0] if glued else ""
         self.spaced = Held(self._spaced, fixed=fixed)
         self.bare = Held(self._bare)
@@ -93,10 +94,10 @@ class Pieces:
         """A piece behind a space."""
         if piece.isascii() and piece.isalpha():  # most misses
             return self._word(piece, self.space)
-        if self.glued and not sure(piece):
-            raise Unsure
         m = PLAIN.fullmatch(piece)
         if not m:
+            if self.glued and not sure(piece):
+                raise Unsure
             return self.encoded(" " + piece if self.glued else piece)
         if not m[2] and not m[3]:
             return self._word(piece, self.space)
