@@ -80,7 +80,7 @@ _COHORT_COLS = ["patid", "birth_date", "sex", "race", "hispanic", "enr_start", "
 
 
 def cohort(p: Pipeline):
-    return p.cohort
+    return p.cohort_once
 
 
 @register("build_cohort", 2, "C2 W1 W2 J1 J3",
