@@ -29,7 +29,7 @@ def staged(monkeypatch):
 
 
 def test_line_facts_are_joined_once_each(spark, staged):
-    """Dictionaries, exclusions, history and obesity read the written facts (12 joins before)."""
+    """Dictionaries, exclusions, history and obesity read the written facts."""
     base = Pipeline(Fixtures(spark, SF)).base
     assert base.count() > 0
     drop_materialized(spark)
