@@ -2,8 +2,8 @@
 
 import pytest
 
-from eventlink.operators import codes
-from eventlink.plans import pipeline
+from eventlink.operators import codes, features
+from eventlink.plans import pipeline, q_model
 from eventlink.plans.pipeline import Pipeline
 from eventlink.session import drop_materialized, materialize
 from eventlink.sources.tables import Fixtures
@@ -71,3 +71,56 @@ def test_kept_mappings_give_the_same_rows(spark):
         plain, kept = codes.group_px(*args), codes.group_px(*args, keep=keep)
         assert plain.exceptAll(kept).isEmpty() and kept.exceptAll(plain).isEmpty() and not kept.isEmpty()
     drop_materialized(spark)
+
+
+def test_events_meet_the_facts_that_the_lists_leave(spark, staged):
+    """The optimizer moved this join below the mapping, where every fact was shuffled for it."""
+    p = Pipeline(Fixtures(spark, SF))
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (p.index_keys, p.planned_keys)]
+    drop_materialized(spark)
+    for plan in plans:
+        first, *arms = plan.split("Join LeftSemi")
+        assert arms and "Join Inner" not in first and all("Join Inner" in arm for arm in arms)
+
+
+@pytest.mark.parametrize("kind, key", [("area", "ctx_id"), ("person", "patid")])
+def test_profiles_are_written_once(spark, staged, kind, key):
+    p = Pipeline(Fixtures(spark, SF))
+    p.feature_long(kind, impute=True)
+    names = [name for name, _ in staged]
+    assert names.count(f"weighted-{key}") == names.count(f"profile-{kind}") == 1
+    plain = features.variable_profile(getattr(p, f"{kind}_long"), p.base, key)
+    assert sorted(map(tuple, p.profiles[kind].collect())) == sorted(map(tuple, plain.collect()))
+    drop_materialized(spark)
+
+
+def test_gains_are_written_once(spark, staged):
+    """Ranks and shadow each made the distinct rows of all features anew."""
+    ranked = q_model.importance_rank(spark, SF)
+    assert [name for name, _ in staged].count("gains") == 1 and "rowid" not in _plan(ranked)
+    drop_materialized(spark)
+
+
+def test_imputed_rows_leave_out_what_is_held(spark):
+    """Of the features, those of variables without an imputation value go nowhere near the imputed rows."""
+    rows = spark.createDataFrame([(1, 10, 100, 1), (2, 20, 200, 0), (3, None, 300, 0)],
+                                 "rowid long, patid long, encounterid long, label int")
+    attrs = spark.createDataFrame([(10, "n1", "n1", 5.0), (10, "c", "c_x", 1.0), (20, "c", "n1", 1.0), (None, "n2", "n2", 7.0)],
+                                  "patid long, var_orig string, var string, val double")
+    profile = spark.createDataFrame([("n1", 1.0, 3.0), ("n2", 1.0, 4.0), ("c", 1.0, None)], "var string, rt double, imp_val double")
+    out = features.attribute_features(attrs, rows, profile, profile["rt"] > 0, "patid", impute=True)
+    assert sorted(tuple(r)[0:1] + tuple(r)[4:] for r in out.collect()) == [
+        (1, "c_x", 1.0), (1, "n1", 5.0), (1, "n2", 4.0), (2, "n1", 1.0), (2, "n2", 4.0), (3, "n1", 3.0), (3, "n2", 4.0)]
+
+
+def test_sparse_rows_do_not_shuffle_for_the_index(spark):
+    p = Pipeline(Fixtures(spark, SF))
+    long = p.features_all
+    encoder = materialize(features.numbered_keys(long, ["var"], "n").selectExpr("var", "concat('V', n) AS var3"), "encoder")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(features.sparse_rows(long, encoder))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        drop_materialized(spark)
+    assert "BroadcastHashJoin [var" in plan and "SortMergeJoin" not in plan
