@@ -124,3 +124,16 @@ def test_sparse_rows_do_not_shuffle_for_the_index(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         drop_materialized(spark)
     assert "BroadcastHashJoin [var" in plan and "SortMergeJoin" not in plan
+
+
+def test_both_facts_read_one_join(spark, staged):
+    """Diagnoses and procedures each joined lineitem and orders for themselves."""
+    p = Pipeline(Fixtures(spark, SF))
+    p.labelled()
+    plans = dict(staged)
+    assert "Join" not in plans["fx_dx"] + plans["fx_px"]
+    plain = Fixtures(spark, SF)
+    for name in ("fx_dx", "fx_px"):
+        rows = lambda fx: sorted(map(str, fx.get(name).collect()))
+        assert rows(p.fx) == rows(plain) != []
+    drop_materialized(spark)
