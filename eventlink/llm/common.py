@@ -14,7 +14,7 @@ from eventlink.session import materialize
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back, so
     that later steps re-read files instead of recomputing what is upstream."""
-    return materialize(df, f"llm-{name}")
+    return materialize(df, f"llm-{name}", compression=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

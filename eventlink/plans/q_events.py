@@ -39,7 +39,7 @@ _LINK_COLS = ["patid", "encounterid", "admit_date", "discharge_date", "encounter
 @register("link_next_event", 1, "C3 W4 P11",
           compose(f"SELECT {', '.join(_LINK_COLS)} FROM o_linked"))
 def link_next_event(spark, sf_dir):
-    return _pipe(spark, sf_dir).linked.select(*_LINK_COLS)
+    return _pipe(spark, sf_dir).linked_carrying.select(*_LINK_COLS)
 
 
 @register("lookback_12m", 1, "C4 J13 W6",

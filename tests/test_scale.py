@@ -137,3 +137,48 @@ def test_both_facts_read_one_join(spark, staged):
         rows = lambda fx: sorted(map(str, fx.get(name).collect()))
         assert rows(p.fx) == rows(plain) != []
     drop_materialized(spark)
+
+
+def test_mappings_read_the_distinct_codes(spark, monkeypatch):
+    """Four dictionaries and both mappings each read the facts again, nine times in all."""
+    read = {}
+
+    def kept(df, name):
+        read[name] = {f.rsplit("/", 2)[-2].rsplit("-", 1)[0] for f in df.inputFiles()}
+        return materialize(df, name)
+
+    monkeypatch.setattr(pipeline, "materialize", kept)
+    p = Pipeline(Fixtures(spark, SF))
+    p.labelled(), p.history
+    assert {"fx_dict9", "fx_dict10", "fx_pxdict9", "fx_pxdict10", "px-mapping", "prefix-mapping"} <= set(read)
+    assert sorted(name for name, of in read.items() if {"fx_dx", "fx_px"} & of and name != "eligible") == [
+        "fx_dx-codes", "fx_px-codes"]
+    plain = Fixtures(spark, SF)
+    for name in ("fx_dict9", "fx_dict10", "fx_pxdict9", "fx_pxdict10"):
+        rows = lambda fx: sorted(map(str, fx.get(name).collect()))
+        assert rows(p.fx) == rows(plain) != []
+    drop_materialized(spark)
+
+
+def test_mapping_of_listed_groups(spark):
+    px = spark.createDataFrame([(1, 10, "09", "1.1"), (1, 10, "09", "1.1"), (2, 20, "09", "2.2"), (None, 30, "09", "1.1"),
+                                (3, 30, "CH", "105"), (3, 31, None, "105"), (4, 40, "CH", None)],
+                               "patid long, encounterid long, px_type string, px string")
+    ranges = spark.createDataFrame([("100", "110", "7"), ("100", "110", "5")], "lb string, ub string, grp string")
+    nine = spark.createDataFrame([("11", "7"), ("22", "5"), ("11", None)], "code string, grp string")
+    only = spark.createDataFrame([(7,), (7,), (None,)], "grp int")
+    out = codes.group_px(px, ranges, nine, nine.limit(0), codes=px.select("px", "px_type"), only=only)
+    whole = codes.group_px(px, ranges, nine, nine.limit(0)).filter("grp = '7'")
+    rows = lambda df: sorted(map(str, df.select("patid", "encounterid", "px", "grp").collect()))
+    assert rows(out) == rows(whole) and len(rows(out)) == 4
+
+
+def test_linked_rows_hold_what_is_read(spark, staged):
+    """Span, provider, censor and death dates and the next event's columns went through every shuffle."""
+    p = Pipeline(Fixtures(spark, SF))
+    assert sorted(p.linked.columns) == sorted(set(pipeline.LABEL_COLUMNS) - {"label"})
+    whole = p.linked_carrying
+    assert {"admit_date_lead", "enc_type_lead", "drg_lead", "provider_id_lead"} <= set(whole.columns)
+    same = whole.select(*p.linked.columns)
+    assert same.exceptAll(p.linked).isEmpty() and p.linked.exceptAll(same).isEmpty() and not same.isEmpty()
+    drop_materialized(spark)
