@@ -34,12 +34,13 @@ other than the two named ones are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pandas as pd
@@ -104,22 +105,23 @@ class Aligner:
             raw = self.a.encoded(atom)
         return memoryview(raw).cast("I").tolist()
 
-    def _made(self, atoms: list[str]) -> Iterator[tuple[str, str, bytes, tuple]]:
+    def _made(self, atoms: list[str]) -> Iterator[tuple[str, tuple[str, bytes, tuple]]]:
         """Groups, links and sizes of atoms; one that does not come back byte for
         byte gets none.  B puts a space before what it is given: an atom that
         begins with none is given behind a line end."""
         spaced = [x[0] == " " for x in atoms]
         given = [x[1:] if s else "\n" + x for x, s in zip(atoms, spaced)]
+        of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
         for atom, s, ids_b in zip(atoms, spaced, self.b.encode(given, num_threads=1) if given else []):
             ids_b = ids_b if s else ids_b[len(self.line_end):]
             ids_a, want = self._ids_a(atom), atom.encode()
-            tokens_a, tokens_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
+            tokens_a, tokens_b = [*map(of_a, ids_a)], [*map(of_b, ids_b)]
             if b"".join(tokens_a) == want == b"".join(tokens_b):
                 keys, groups = linked(ids_a, ids_b, tokens_a, tokens_b)
-                yield (atom, ";".join(groups), array("Q", keys).tobytes(),
-                       (len(ids_a), len(ids_b), len(groups), len(keys)))
+                yield atom, (";".join(groups), array("Q", keys).tobytes(),
+                             (len(ids_a), len(ids_b), len(groups), len(keys)))
             else:
-                yield atom, "", b"", (0, 0, 0, 0)
+                yield atom, ("", b"", (0, 0, 0, 0))
 
     def learn(self, units: list[str]) -> None:
         """Align stretches, each with the space before it."""
@@ -137,15 +139,22 @@ class Aligner:
         new = {x for p in parts if p for x in p if x not in atoms}
         for x in new & old.keys():
             atoms[x] = old[x]
-        for x, *made in self._made([x for x in new if x not in atoms]):
-            atoms[x] = made
-        rest = {x: made for x, *made in self._made([" " + u for u, p in zip(units, parts) if p is None])}
+        atoms.update(self._made([x for x in new if x not in atoms]))
+        rest = dict(self._made([" " + u for u, p in zip(units, parts) if p is None]))
+        self.places.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
         for unit, p in zip(units, parts):
-            made = [atoms[x] for x in p] if p else [rest[" " + unit]]
-            self.places[unit] = len(self.groups)
-            self.groups.append(made[0][0] if len(made) == 1 else ";".join([m[0] for m in made]))
-            self.links.append(made[0][1] if len(made) == 1 else b"".join([m[1] for m in made]))
-            sizes.append(made[0][2] if len(made) == 1 else tuple(map(sum, zip(*[m[2] for m in made]))))
+            if not p or len(p) == 1:
+                groups, links, size = atoms[p[0]] if p else rest[" " + unit]
+            elif len(p) == 2:
+                (groups, links, (a, b, c, d)), (more, keys, (e, f, g, h)) = atoms[p[0]], atoms[p[1]]
+                groups, links, size = f"{groups};{more}", links + keys, (a + e, b + f, c + g, d + h)
+            else:
+                made = [atoms[x] for x in p]
+                groups, links = ";".join([m[0] for m in made]), b"".join([m[1] for m in made])
+                size = tuple(map(sum, zip(*[m[2] for m in made])))
+            self.groups.append(groups)
+            self.links.append(links)
+            sizes.append(size)
         self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64).reshape(-1, len(COUNTS))])
 
     def units(self, text: str) -> list[str]:
@@ -179,30 +188,36 @@ class Aligner:
         lost = self.sizes[:, COUNTS.index("n_links")] == 0
         if lost.any():  # a stretch that does not come back takes its text with it
             found = [[] if at and lost[at].any() else at for at in found]
+        gc.freeze()  # the tables hold no cycles: collections need not look through them again
         return found
 
 
 def linked(ids_a: list[int], ids_b: list[int], tokens_a: list[bytes], tokens_b: list[bytes]) -> tuple[list[int], list[str]]:
     """Keys of the links of one stretch in order, and its groups as text."""
+    if len(ids_a) == 1 or len(ids_b) == 1:  # one group, all linked to the one
+        return ([(b << ID_BITS | a) << PLACE_BITS for b in ids_b for a in ids_a],
+                [f"{','.join(map(str, ids_a))}|{','.join(map(str, ids_b))}"])
     keys, groups = [], []
     i = j = from_a = from_b = 0
-    end_a, end_b = len(tokens_a[0]), len(tokens_b[0])
-    if len(ids_a) == len(ids_b) == 1:
-        return [(ids_b[0] << ID_BITS | ids_a[0]) << PLACE_BITS], [f"{ids_a[0]}|{ids_b[0]}"]
+    ends_a, ends_b = [*accumulate(map(len, tokens_a))], [*accumulate(map(len, tokens_b))]
+    end_a, end_b, a, b = ends_a[0], ends_b[0], ids_a[0], ids_b[0]
     while True:
-        keys.append((ids_b[j] << ID_BITS | ids_a[i]) << PLACE_BITS)
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a and step_b:
-            groups.append(f"{','.join(map(str, ids_a[from_a:i + 1]))}|{','.join(map(str, ids_b[from_b:j + 1]))}")
-            from_a, from_b = i + 1, j + 1
-            if from_a == len(ids_a):
-                return keys, groups
-        if step_a:
+        keys.append((b << ID_BITS | a) << PLACE_BITS)
+        if end_a < end_b:
             i += 1
-            end_a += len(tokens_a[i])
-        if step_b:
+            end_a, a = ends_a[i], ids_a[i]
+        elif end_b < end_a:
             j += 1
-            end_b += len(tokens_b[j])
+            end_b, b = ends_b[j], ids_b[j]
+        else:
+            i, j = i + 1, j + 1
+            if i - from_a == j - from_b == 1:
+                groups.append(f"{a}|{b}")
+            else:
+                groups.append(f"{','.join(map(str, ids_a[from_a:i]))}|{','.join(map(str, ids_b[from_b:j]))}")
+            if i == len(ids_a):
+                return keys, groups
+            from_a, from_b, end_a, end_b, a, b = i, j, ends_a[i], ends_b[j], ids_a[i], ids_b[j]
 
 
 # -- runs ---------------------------------------------------------------------

@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import random
 from collections import Counter
@@ -165,3 +166,31 @@ def test_empty(spark):
     df = docs(spark, [(1, "a")]).limit(0)
     assert alignment(df).count() == 0
     assert alignment(docs(spark, [(1, None), (2, "")])).select("n_links").collect() == [(0,), (0,)]
+
+
+def test_links_and_groups_of_any_two_cuts():
+    """Each range between neighbouring ends is a link, ends that both share part the groups."""
+    draw = random.Random(3)
+    for _ in range(300):
+        n = draw.randint(1, 9)
+        cuts = [sorted({n, *draw.sample(range(1, n + 1), draw.randint(0, n))}) for _ in "ab"]
+        ids = [[draw.randrange(90) for _ in c] for c in cuts]
+        tokens = [[b"x" * (hi - lo) for lo, hi in zip([0, *c], c)] for c in cuts]
+        at = lambda k, end: sum(e < end for e in cuts[k])
+        keys = [(ids[1][at(1, e)] << M.ID_BITS | ids[0][at(0, e)]) << M.PLACE_BITS for e in sorted({*cuts[0], *cuts[1]})]
+        shared = sorted({*cuts[0]} & {*cuts[1]})
+        groups = ["|".join(",".join(str(i) for i, e in zip(ids[k], cuts[k]) if lo < e <= hi) for k in (0, 1))
+                  for lo, hi in zip([0, *shared], shared)]
+        assert M.linked(*ids, *tokens) == (keys, groups)
+
+
+def test_kept_stretches_are_not_collected_again():
+    """Each full collection of a task went through all stretches that it keeps."""
+    aligner = Aligner(A, B)
+    try:
+        aligner.align(["some words, and more words\nbehind a line end", "", "more"])
+        tracked = {id(x) for x in gc.get_objects()}
+        assert id(aligner.places) not in tracked and id(aligner.groups) not in tracked
+        assert not any(id(made) in tracked for made in aligner.atoms.values()) and aligner.atoms
+    finally:
+        gc.unfreeze()
